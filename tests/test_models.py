@@ -1,0 +1,117 @@
+"""Staging and the metric model on edge-case documents."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.documents import DELIVERIES, ITEM, ORDERS, order
+from zonewright.operators import quality
+from zonewright.operators.spatial import with_cells
+from zonewright.plans import metrics, staging
+from zonewright.sources import schemas
+
+
+@pytest.fixture(scope="module")
+def raw_orders(spark):
+    return spark.createDataFrame(ORDERS, schemas.ORDERS)
+
+
+@pytest.fixture(scope="module")
+def raw_deliveries(spark):
+    return with_cells(spark.createDataFrame(DELIVERIES, schemas.DELIVERY_TELEMETRY))
+
+
+@pytest.fixture(scope="module")
+def rows(raw_orders, raw_deliveries):
+    df = metrics.delivery_metrics(staging.deliveries(raw_deliveries), staging.orders(raw_orders))
+    return {r["order_id"]: r for r in df.collect()}
+
+
+def test_orders_are_flat_and_totalled_in_the_row(raw_orders):
+    by_id = {r["order_id"]: r for r in staging.orders(raw_orders).collect()}
+    first = by_id["o1"]
+    assert (first["payment_method"], first["payment_installments"]) == ("momo", 3)
+    assert first["destination_district"] == "Quận 1"
+    assert first["order_timestamp"].isoformat() == "2024-05-01T08:30:00.123456"
+    assert [by_id[o]["item_count"] for o in ("o1", "o2", "o3")] == [2, 0, None]
+    assert [by_id[o]["subtotal_usd"] for o in ("o1", "o2", "o3")] == [25.25, None, None]
+    assert [by_id[o]["total_freight_usd"] for o in ("o1", "o2", "o3")] == [3.0, None, None]
+
+
+def test_null_values_inside_items_are_skipped(spark):
+    documents = [
+        order("a", [ITEM]),
+        order("b", [ITEM]),
+    ]
+    documents[0]["line_items"] = [ITEM, ITEM | {"freight_value_usd": None}]
+    documents[1]["line_items"] = [ITEM | {"freight_value_usd": None, "quantity": None}]
+    raw = spark.createDataFrame(documents, schemas.ORDERS)
+    got = staging.orders(raw).select("item_count", "subtotal_usd", "total_freight_usd").collect()
+    assert [tuple(r) for r in got] == [(2, 40.0, 1.5), (1, None, None)]
+
+
+def test_items_of_empty_and_missing_arrays_vanish(raw_orders):
+    items = staging.order_items(raw_orders).collect()
+    assert [(r["order_id"], r["product_id"], r["line_total_usd"]) for r in items] == [
+        ("o1", "p1", 20.0),
+        ("o1", "p2", 5.25),
+    ]
+
+
+def test_totals_agree_however_items_are_stored(raw_orders):
+    nested = staging.orders(raw_orders).filter("item_count > 0").select(
+        "order_id", *staging.ITEM_TOTALS
+    )
+    flat = staging.flat_totals(staging.order_items(raw_orders))
+    split = staging.document_totals(
+        raw_orders.select("order_id", F.explode("line_items").alias("item")).select(
+            "order_id", F.array("item").alias("line_items")
+        )
+    )
+    assert nested.collect() == flat.collect() == split.collect()
+
+
+def test_supplied_zone_ids_are_kept(spark):
+    supplied = [d | {"h3_cell_9": "8965", "grid_cell_id": "1_2"} for d in DELIVERIES[:1]]
+    df = with_cells(spark.createDataFrame(supplied, schemas.DELIVERIES))
+    assert df.select("h3_cell_9", "grid_cell_id").first() == ("8965", "1_2")
+
+
+def test_every_delivery_is_kept(rows):
+    assert set(rows) == {"o1", "o2", "o3", "lost", None}
+
+
+def test_delay_counts_minute_boundaries(rows):
+    assert [rows[o]["delay_minutes"] for o in ("o1", "o2", "o3", "lost")] == [1, -20, 60, 15]
+
+
+def test_cost_by_vehicle(rows):
+    assert rows["o1"]["delay_cost_usd"] == pytest.approx(5 / 60)
+    assert rows["o2"]["delay_cost_usd"] == pytest.approx(-1.0)  # early: negative
+    assert rows["o3"]["delay_cost_usd"] == pytest.approx(3.0)  # no vehicle: the lower rate
+
+
+def test_gap_is_cost_less_freight(rows):
+    assert rows["o1"]["margin_gap_usd"] == pytest.approx(5 / 60 - 3.0)
+    assert rows["o3"]["margin_gap_usd"] == pytest.approx(3.0)  # no items, no freight
+    lost = rows["lost"]
+    assert lost["destination_district"] is None and lost["total_freight_usd"] is None
+    assert lost["margin_gap_usd"] == pytest.approx(15 / 60 * 5.0)
+
+
+def test_no_coordinates_no_zone(rows):
+    assert rows[None]["h3_cell_9"] is None and rows[None]["grid_cell_id"] is None
+
+
+def test_column_tests(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id bigint")
+    assert quality.unique(df, "t", "id").first() == ("unique", "t", "id", 1)
+    assert quality.not_null(df, "t", "id").first() == ("not_null", "t", "id", 2)
+    assert df.filter("id = 1").count() == 2
+
+
+def test_payment_reconciliation_finds_wrong_and_missing_amounts(spark):
+    documents = [order("a", [ITEM]), order("b", [ITEM]), order("c", [ITEM]), order("d", [])]
+    documents[1]["payment"]["amount_usd"] += 0.01
+    documents[2]["payment"]["amount_usd"] = None
+    raw = spark.createDataFrame(documents, schemas.ORDERS)
+    assert quality.payment_reconciliation(staging.orders(raw)).first() == (4, 3, 1, 2)

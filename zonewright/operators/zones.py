@@ -25,10 +25,20 @@ MEASURES = (
 )
 
 
-def _measures() -> list[Column]:
+def in_zone(zone: str) -> Column:
+    """Rows of a group that have a zone.
+
+    Zero for the one group of rows without. Dropping that group afterwards
+    (``HAVING``) rather than filtering rows up front keeps the zone id, an
+    expression if the raw table does not store it, from being computed twice.
+    """
+    return F.count(zone)
+
+
+def _measures(zone: str) -> list[Column]:
     delay, gap = F.col("delay_minutes"), F.col("margin_gap_usd")
     values = (
-        F.count(F.lit(1)),
+        in_zone(zone),
         F.count(delay),
         F.sum(delay),
         F.sum("delay_cost_usd"),
@@ -53,11 +63,7 @@ def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[s
     over that much smaller profile yields the totals and each column's counts.
     """
     facets = [distinct, *modes]
-    profile = (
-        metrics.filter(F.col(zone).isNotNull())
-        .groupBy(zone, *facets)
-        .agg(*_measures())
-    )
+    profile = metrics.groupBy(zone, *facets).agg(*_measures(zone)).filter("deliveries > 0")
 
     sets = [[F.col(zone)]] + [[F.col(zone), F.col(f)] for f in facets]
     counted = profile.groupingSets(sets, zone, *facets).agg(
@@ -85,32 +91,35 @@ def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[s
 
 def distinct_per_zone(df: DataFrame, zone: str, column: str) -> DataFrame:
     """(zone, n): exact distinct non-NULL values, deduplicated before counting."""
-    pairs = df.filter(F.col(zone).isNotNull()).groupBy(zone, column).agg(F.lit(1).alias("seen"))
+    pairs = df.groupBy(zone, column).agg(in_zone(zone).alias("rows")).filter("rows > 0")
     return pairs.groupBy(zone).agg(F.count(column).alias(f"n_{column}"))
 
 
 def mode_per_zone(df: DataFrame, zone: str, column: str) -> DataFrame:
     """(zone, mode): most frequent non-NULL value, ties to the smallest."""
-    counts = df.filter(F.col(zone).isNotNull()).groupBy(zone, column).agg(
-        F.count(column).alias("n")
-    )
-    rank = F.when(F.col(column).isNotNull(), F.struct(-F.col("n"), F.col(column)))
+    counts = df.groupBy(zone, column).agg(in_zone(zone).alias("rows")).filter("rows > 0")
+    rank = F.when(F.col(column).isNotNull(), F.struct(-F.col("rows"), F.col(column)))
     return counts.groupBy(zone).agg(F.min_by(column, rank).alias(f"mode_{column}"))
 
 
 def filtered_share(df: DataFrame, zone: str, condition: Column, name: str) -> DataFrame:
     """(zone, deliveries, matching rows): the inputs of a percentage."""
     return (
-        df.filter(F.col(zone).isNotNull())
-        .groupBy(zone)
-        .agg(F.count(F.lit(1)).alias("deliveries"), F.count_if(condition).alias(name))
+        df.groupBy(zone)
+        .agg(in_zone(zone).alias("deliveries"), F.count_if(condition).alias(name))
+        .filter("deliveries > 0")
     )
 
 
 def zone_centroids(points: DataFrame, zone: str, lat: str, lon: str) -> DataFrame:
     """(zone, centroid_lat, centroid_lon): mean position of a zone's deliveries."""
     return (
-        points.filter(F.col(zone).isNotNull())
-        .groupBy(zone)
-        .agg(F.avg(lat).alias("centroid_lat"), F.avg(lon).alias("centroid_lon"))
+        points.groupBy(zone)
+        .agg(
+            in_zone(zone).alias("rows"),
+            F.avg(lat).alias("centroid_lat"),
+            F.avg(lon).alias("centroid_lon"),
+        )
+        .filter("rows > 0")
+        .drop("rows")
     )

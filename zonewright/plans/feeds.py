@@ -42,11 +42,11 @@ def kpi_cards(kpis: DataFrame) -> DataFrame:
     )
 
 
-def district(mart_district: DataFrame) -> DataFrame:
-    """Districts, worst mean delay first, each classed as loss or profit."""
+def district(mart_district: DataFrame, by: str = "avg_delay_minutes") -> DataFrame:
+    """Districts, highest first by a measure, each classed as loss or profit."""
     return mart_district.withColumn(
         "gap_class", labels.gap_class(F.col("margin_gap_usd"))
-    ).orderBy(F.desc("avg_delay_minutes"), "destination_district")
+    ).orderBy(F.desc(by), "destination_district")
 
 
 def h3_zones(mart_h3: DataFrame) -> DataFrame:

@@ -78,9 +78,14 @@ def district(metrics: DataFrame) -> DataFrame:
     )
 
 
+def _zones(metrics: DataFrame, zone: str, modes: list[str]) -> DataFrame:
+    profile = zone_profile(metrics, zone, "driver_id", modes)
+    return profile.withColumn("mean_delay", ratio(F.col("delay_sum"), F.col("timed")))
+
+
 def _zone_columns() -> list[Column]:
-    deliveries_ = F.col("deliveries")
-    mean_delay = ratio(F.col("delay_sum"), F.col("timed"))
+    """What both zone marts show, over a zone profile with ``mean_delay``."""
+    deliveries_, mean_delay = F.col("deliveries"), F.col("mean_delay")
     return [
         deliveries_.alias("total_deliveries"),
         round_half_away(mean_delay, 1).alias("avg_delay_minutes"),
@@ -97,9 +102,7 @@ def _zone_columns() -> list[Column]:
 
 def h3(metrics: DataFrame) -> DataFrame:
     """Per hexagon. Sums cover all deliveries of the zone, late or not."""
-    zones = zone_profile(
-        metrics, "h3_cell_9", "driver_id", ["traffic_zone", "destination_district"]
-    )
+    zones = _zones(metrics, "h3_cell_9", ["traffic_zone", "destination_district"])
     return zones.select(
         "h3_cell_9",
         *_zone_columns(),
@@ -109,7 +112,7 @@ def h3(metrics: DataFrame) -> DataFrame:
 
 def grid(metrics: DataFrame) -> DataFrame:
     """Per grid cell, with the centre parsed back from the cell id."""
-    zones = zone_profile(metrics, "grid_cell_id", "driver_id", ["traffic_zone"])
+    zones = _zones(metrics, "grid_cell_id", ["traffic_zone"])
 
     def centre(position: int) -> Column:
         step = geo.lattice_step(F.col("grid_cell_id"), position)
