@@ -1,0 +1,113 @@
+import pytest
+from pyspark.sql import functions as F
+
+from zonewright.functions import geo
+from zonewright.operators import spatial
+from zonewright.plans import feeds
+
+MART = """
+    h3_cell_9 string, total_deliveries bigint, avg_delay_minutes double,
+    total_margin_gap_usd double, failure_rate_pct double, hem_access_pct double,
+    is_hotspot boolean, dominant_traffic_zone string, dominant_district string
+"""
+
+
+def zone(cell, delay, gap=-5.0, district="Quận 3"):
+    return (cell, 4, delay, gap, 25.0, 50.0, delay > 15, "high", district)
+
+
+def mart(spark, rows):
+    return spark.createDataFrame(rows, MART)
+
+
+def test_hotspot_list_cuts_ties_by_zone_id(spark):
+    rows = [zone(f"c{i:03d}", 20.0) for i in range(80)] + [zone("worst", 61.0), zone("calm", 9.0)]
+    got = feeds.hotspots(mart(spark, rows)).collect()
+    assert [r["h3_cell_9"] for r in got] == ["worst"] + [f"c{i:03d}" for i in range(49)]
+    assert [r["is_severe"] for r in got[:2]] == [True, False]
+
+
+def test_recommendation_covers_the_list(spark):
+    rows = [zone("a", 20.0, gap=-10.25), zone("b", 30.0, gap=4.0, district="Gò Vấp"),
+            zone("c", 30.0, gap=1.0)]
+    got = feeds.recommendation(feeds.hotspots(mart(spark, rows))).first()
+    assert got.asDict() == {
+        "n_zones": 3,
+        "total_margin_gap_usd": -5.25,
+        "recovery_usd": 5.25,
+        "worst_cell_label": "b…",
+        "worst_district": "Gò Vấp",
+    }
+
+
+def test_recommendation_without_hotspots(spark):
+    got = feeds.recommendation(feeds.hotspots(mart(spark, [zone("a", 1.0)]))).first()
+    assert tuple(got) == (0, 0.0, 0.0, "—", "—")
+
+
+def test_hotspot_headings(spark):
+    table = feeds.hotspot_table(feeds.hotspots(mart(spark, [zone("a", 20.0)])))
+    assert table.columns[:3] == ["H3 Cell", "District", "Deliveries"]
+
+
+@pytest.fixture(scope="module")
+def city_map(spark):
+    lattice = spatial.hex_lattice(spatial.city_box(spark))
+    inside = lattice.select("h3_cell_9").orderBy("h3_cell_9").first()[0]
+    zones = mart(spark, [zone(inside, 17.5, gap=1200.0), zone("0_0", 50.0)])
+    return inside, feeds.zone_map(lattice, feeds.h3_zones(zones)).cache()
+
+
+def test_map_blanks_cells_without_data(city_map):
+    inside, rows = city_map
+    assert rows.count() == 8085
+    assert rows.filter("has_data").count() == 1  # a zone outside the box is not on the map
+    blank = rows.filter("NOT has_data").first()
+    assert (blank["avg_delay_minutes"], blank["total_deliveries"]) == (0.0, 0)
+    assert (blank["status"], blank["dominant_district"]) == ("Normal", "—")
+    assert (blank["fill_r"], blank["fill_a"]) == (180, 18)
+
+
+def test_map_labels_zones_with_data(city_map):
+    inside, rows = city_map
+    row = rows.filter(F.col("h3_cell_9") == inside).first()
+    assert row["status"] == "HIGH RISK" and row["status_color"] == "#ef4444"
+    assert row["delay_label"] == "17.5 min avg"
+    assert row["gap_label"] == "+$1,200 loss"
+    assert (row["fill_r"], row["fill_g"], row["fill_b"], row["fill_a"]) == (234, 179, 8, 135)
+    assert row["maps_coords"] == f"{row['center_lat']:.5f}, {row['center_lng']:.5f}"
+
+
+def test_map_kpis(city_map):
+    assert tuple(feeds.zone_kpis(city_map[1]).first()) == (1, 1200.0, 17.5)
+    calm = city_map[1].filter("NOT is_hotspot")
+    assert tuple(feeds.zone_kpis(calm).first()) == (0, 0.0, 0.0)
+
+
+def test_lookup(spark, city_map):
+    inside, rows = city_map
+    q, r = (int(part) for part in inside.split("_"))
+    lat, lon = spark.range(1).select(*geo.hex_centre(F.lit(q), F.lit(r))).first()
+    row = feeds.zone_lookup(rows, lat, lon).first()
+    assert (row["h3_cell_9"], row["gap_class"]) == (inside, "Loss")
+    assert row["is_slow"] and row["fails_often"]
+
+
+def test_district_ranking(spark):
+    rows = [("a", 5.0, -3.0), ("b", 9.0, 2.0), ("c", 5.0, 4.0)]
+    df = spark.createDataFrame(
+        rows, "destination_district string, avg_delay_minutes double, margin_gap_usd double"
+    )
+    got = feeds.district(df).collect()
+    assert [(r[0], r["gap_class"]) for r in got] == [("b", "Loss"), ("a", "Profit"), ("c", "Loss")]
+    by_gap = feeds.district(df, by="margin_gap_usd").collect()
+    assert [r[0] for r in by_gap] == ["c", "b", "a"]
+
+
+def test_kpi_cards(spark):
+    df = spark.createDataFrame(
+        [(10, 13.1, 50.1, 10945.0, -23366.0)],
+        "total_deliveries bigint, avg_delay_minutes double, pct_severely_delayed double, "
+        "at_risk_cost_usd double, total_margin_gap_usd double",
+    )
+    assert tuple(feeds.kpi_cards(df).first()) == (10, 13.1, 50.1, True, 10945, -23366, "Profit")

@@ -1,0 +1,170 @@
+"""What the planner makes of the queries."""
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.registry import QUERIES, TestTables, delivery_metrics
+from tests.conftest import SMALL
+from zonewright.operators import spatial, zones
+from zonewright.plans import comparison, feeds, marts, metrics, staging
+from zonewright.session import materialize
+from zonewright.sources import schemas
+from tests.documents import DELIVERIES, ORDERS
+
+TIMED = "cl_benchmark"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df)
+
+
+@pytest.mark.parametrize("key", [k for k in QUERIES if k != TIMED])
+def test_no_python_no_cross_join_no_crowded_task(spark, key):
+    text = plan(QUERIES[key](spark, SMALL))
+    assert not re.search(r"Python|ArrowEval|MapInPandas", text)
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
+    # rows meet in one task only as partial aggregates
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert re.search(r"Aggregate.*(partial|merge)_", lines[i + 1]), lines[i + 1]
+
+
+COMPILED = ["idx_hex", "int_delivery_metrics", "mart_h3", "mart_kpis", "cell_stats", "stg_orders"]
+
+
+@pytest.mark.parametrize("key", COMPILED)
+def test_generated_code_can_be_compiled_to_machine_code(spark, conf, key):
+    """The JVM only ever interprets methods above 8000 bytes."""
+    conf(spark__sql__adaptive__enabled="false")
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[key](spark, SMALL).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_top_k_is_not_a_global_sort(spark):
+    assert "TakeOrderedAndProject" in plan(QUERIES["feed_hotspots"](spark, SMALL))
+
+
+def test_indexing_needs_no_shuffle_of_its_own(spark):
+    points = TestTables(spark, SMALL).raw_deliveries()
+    assert "Exchange hashpartitioning" not in plan(points.select("h3_cell_9", "grid_cell_id"))
+
+
+def test_scans_read_only_what_a_query_uses(spark):
+    text = plan(QUERIES["mart_district"](spark, SMALL))
+    lineitem = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", text) if "l_orderkey" in s]
+    assert lineitem == ["l_orderkey:bigint,l_partkey:bigint,l_linenumber:int"]
+
+
+def test_nested_documents_are_pruned_to_the_fields_used(spark, conf):
+    conf(spark__sql__maxMetadataStringLength="10000")
+    raw = materialize(spark.createDataFrame(ORDERS, schemas.ORDERS), "orders")
+    used = staging.orders(raw).select("order_id", "payment_method", "total_freight_usd")
+    scan = re.search(r"ReadSchema: (struct<.*>)", plan(used)).group(1)
+    assert "amount_usd" not in scan and "address_text" not in scan
+    assert "freight_value_usd" in scan and "unit_price_usd" not in scan
+
+
+def test_zone_lookup_reaches_the_scan_of_a_stored_mart(spark):
+    mart = materialize(marts.h3(delivery_metrics(TestTables(spark, SMALL))), "mart_h3")
+    lattice = spatial.hex_lattice(spatial.city_box(spark))
+    lookup = feeds.zone_lookup(feeds.zone_map(lattice, feeds.h3_zones(mart)), 10.7769, 106.7009)
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(h3_cell_9,\d+_\d+\)", plan(lookup))
+
+
+def test_comparison_scans_the_metrics_once_per_pass(spark):
+    t = TestTables(spark, SMALL)
+    base = materialize(delivery_metrics(t).select(*comparison.COLUMNS), "metrics")
+    stats = plan(comparison.cell_stats(base))
+    assert stats.count("FileScan") == 1
+    assert len(re.findall(r"Exchange hashpartitioning", stats)) == 1
+
+
+def test_zone_profile_shuffles_partial_results_only(spark):
+    t = TestTables(spark, SMALL)
+    base = materialize(delivery_metrics(t), "metrics")
+    lines = plan(marts.h3(base)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "Aggregate" in lines[i + 1] or "Sort" in lines[i + 1], lines[i + 1]
+
+
+# -- joins at scale -----------------------------------------------------------
+
+SKEW = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "2KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "2KB",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+def points_with_a_hot_zone(spark):
+    hot = F.when(F.col("id") % 3 == 0, "7_7").otherwise(F.concat("id", F.lit("_1")))
+    return materialize(
+        spark.range(0, 30000, 1, 8).select(
+            hot.alias("h3_cell_9"),
+            (10.7 + F.col("id") / 1e6).alias("destination_lat"),
+            (106.7 - F.col("id") / 1e6).alias("destination_lon"),
+        ),
+        "points",
+    )
+
+
+def centroid_distance(spark):
+    points = points_with_a_hot_zone(spark)
+    centroids = materialize(
+        zones.zone_centroids(points, "h3_cell_9", "destination_lat", "destination_lon"), "centroids"
+    )
+    return comparison.hex_distances(points, centroids).agg(
+        F.count("hex_km").alias("n"), F.avg("hex_km").alias("km")
+    )
+
+
+def test_small_centroid_table_is_broadcast(spark):
+    assert re.search(r"BroadcastHashJoin .*LeftOuter, BuildRight", plan(centroid_distance(spark)))
+
+
+def test_large_centroid_table_is_shuffled_and_the_hot_zone_split(spark, conf):
+    broadcast = centroid_distance(spark).first()
+    conf(**SKEW)
+    df = centroid_distance(spark)
+    text = final_plan(df)
+    assert "SortMergeJoin(skew=true)" in text
+    assert df.first()["n"] == broadcast["n"] == 30000
+    assert df.first()["km"] == pytest.approx(broadcast["km"], rel=1e-12)
+
+
+def test_deliveries_of_one_hot_order_are_split(spark, conf):
+    conf(**SKEW)
+    ids = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("string")
+    late = materialize(
+        spark.range(0, 30000, 1, 8).select(ids.alias("order_id"), F.col("id").alias("stop")), "d"
+    )
+    some_orders = materialize(
+        spark.range(0, 30000, 2, 8).select(
+            F.col("id").cast("string").alias("order_id"),
+            F.lit("Quận 1").alias("destination_district"),
+            F.lit(1.0).alias("total_freight_usd"),
+            F.lit("momo").alias("payment_method"),
+        ),
+        "o",
+    )
+    df = metrics.join_orders(late, some_orders)
+    assert "SortMergeJoin(skew=true)" in final_plan(df)
+    assert df.count() == 30000
+    assert df.filter("destination_district IS NOT NULL").count() == 10000

@@ -7,26 +7,23 @@ from pyspark.sql import functions as F
 
 # Digits kept before the final rounding: removes the noise that the order of a
 # distributed float sum leaves in the last bits, so that ties round stably.
-NOISE_PLACES = 8
-
-
-def _half_away(x: Column, places: int) -> Column:
-    scale = F.lit(float(10**places))
-    scaled = F.abs(x) * scale
-    # The remainder by 1.0 is exact for doubles of any size; floor() would go
-    # through BIGINT and saturate on fleet-wide sums.
-    fraction = scaled % F.lit(1.0)
-    whole = scaled - fraction + F.when(fraction >= 0.5, 1.0).otherwise(0.0)
-    return F.signum(x) * whole / scale
+NOISE_SCALE = 1e8
 
 
 def round_half_away(x: Column, places: int) -> Column:
-    """Round half away from zero on the scaled binary value.
+    """Round half away from zero on the scaled binary value, at most 6 places.
 
     Spark's own ``round`` works on the decimal text of the number, so it gives
     1.01 for ``round(1.005, 2)`` where the binary value rounds to 1.0.
     """
-    return _half_away(_half_away(x.cast("double"), NOISE_PLACES), places)
+    scale = float(10**places)
+    clean = F.rint(x.cast("double") * NOISE_SCALE) / NOISE_SCALE
+    scaled = F.abs(clean) * scale
+    # The remainder by 1.0 is exact for doubles of any size; floor() would go
+    # through BIGINT and saturate on fleet-wide sums.
+    fraction = scaled % 1.0
+    whole = scaled - fraction + F.when(fraction >= 0.5, 1.0).otherwise(0.0)
+    return F.signum(clean) * whole / scale
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -13,47 +13,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-MEASURES = (
-    "deliveries",
-    "timed",
-    "delay_sum",
-    "cost_sum",
-    "gap_sum",
-    "gap_rows",
-    "failed",
-    "hem_access",
-)
+# Additive measures of a zone: partial sums of any grouping can be added up.
+MEASURES = {
+    "timed": "count(delay_minutes)",
+    "delay_sum": "sum(delay_minutes)",
+    "cost_sum": "sum(delay_cost_usd)",
+    "gap_sum": "sum(margin_gap_usd)",
+    "gap_rows": "count(margin_gap_usd)",
+    "failed": "count_if(delivery_status = 'failed')",
+    "hem_access": "count_if(has_hem_access)",
+}
 
 
 def in_zone(zone: str) -> Column:
-    """Rows of a group that have a zone.
+    """Rows of a group that have a zone: zero for the group of those without.
 
-    Zero for the one group of rows without. Dropping that group afterwards
-    (``HAVING``) rather than filtering rows up front keeps the zone id, an
-    expression if the raw table does not store it, from being computed twice.
+    Dropping that group afterwards (``HAVING``) rather than filtering rows up
+    front keeps the zone id, an expression if the raw table does not store it,
+    from being computed twice.
     """
     return F.count(zone)
 
 
-def _measures(zone: str) -> list[Column]:
-    delay, gap = F.col("delay_minutes"), F.col("margin_gap_usd")
-    values = (
-        in_zone(zone),
-        F.count(delay),
-        F.sum(delay),
-        F.sum("delay_cost_usd"),
-        F.sum(gap),
-        F.count(gap),
-        F.count_if(F.col("delivery_status") == "failed"),
-        F.count_if(F.col("has_hem_access")),
-    )
-    return [value.alias(name) for name, value in zip(MEASURES, values)]
-
-
 def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[str]) -> DataFrame:
     """Per zone: the measures, distinct values of one column, modes of others.
 
-    Gives ``zone``, MEASURES, ``n_<distinct>`` and ``mode_<column>`` for each of
+    Gives ``zone``, ``deliveries``, MEASURES, ``n_<distinct>`` and ``mode_<column>`` for each of
     ``modes``. NULLs count neither as distinct values nor as a mode; a tie for
     the mode goes to the smallest value.
 
@@ -63,29 +48,27 @@ def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[s
     over that much smaller profile yields the totals and each column's counts.
     """
     facets = [distinct, *modes]
-    profile = metrics.groupBy(zone, *facets).agg(*_measures(zone)).filter("deliveries > 0")
-
-    sets = [[F.col(zone)]] + [[F.col(zone), F.col(f)] for f in facets]
-    counted = profile.groupingSets(sets, zone, *facets).agg(
-        *[F.sum(m).alias(m) for m in MEASURES],
-        *[F.grouping(f).alias(f"without_{f}") for f in facets],
+    measured = {"deliveries": f"count({zone})", **MEASURES}
+    profile = (
+        metrics.groupBy(zone, *facets)
+        .agg(*[F.expr(f"{value} AS {name}") for name, value in measured.items()])
+        .filter("deliveries > 0")
     )
 
-    def has(facet: str) -> Column:
-        return (F.col(f"without_{facet}") == 0) & F.col(facet).isNotNull()
-
-    totals = F.lit(True)
-    for facet in facets:
-        totals = totals & (F.col(f"without_{facet}") == 1)
-
-    def mode(column: str) -> Column:
-        rank = F.struct(-F.col("deliveries"), F.col(column))
-        return F.min_by(column, F.when(has(column), rank))
+    key = F.col(zone)
+    counted = profile.groupingSets(
+        [[key], *[[key, F.col(facet)] for facet in facets]], zone, *facets
+    ).agg(
+        *[F.expr(f"sum({name}) AS {name}") for name in measured],
+        *[F.expr(f"grouping({facet}) = 0 AS by_{facet}") for facet in facets],
+    )
 
+    whole_zone = " AND ".join(f"NOT by_{facet}" for facet in facets)
+    rank = "CASE WHEN by_{0} AND {0} IS NOT NULL THEN struct(-deliveries, {0}) END"
     return counted.groupBy(zone).agg(
-        *[F.max(F.when(totals, F.col(m))).alias(m) for m in MEASURES],
-        F.count_if(has(distinct)).alias(f"n_{distinct}"),
-        *[mode(column).alias(f"mode_{column}") for column in modes],
+        *[F.expr(f"max({name}) FILTER (WHERE {whole_zone}) AS {name}") for name in measured],
+        F.expr(f"count({distinct}) FILTER (WHERE by_{distinct}) AS n_{distinct}"),
+        *[F.expr(f"min_by({mode}, {rank.format(mode)}) AS mode_{mode}") for mode in modes],
     )
 
 

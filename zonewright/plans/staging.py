@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.functions.temporal import naive
-
 
 def customers(raw: DataFrame) -> DataFrame:
     return raw.select("customer_id", "customer_name", "phone", "segment", "district")
@@ -25,49 +23,50 @@ def sellers(raw: DataFrame) -> DataFrame:
 ITEM_TOTALS = ("item_count", "subtotal_usd", "total_freight_usd")
 
 
-def _order_columns() -> list[Column]:
-    return [
-        F.col("order_id"),
-        F.col("customer_id"),
-        F.col("order_status"),
-        naive(F.col("order_timestamp")).alias("order_timestamp"),
-        F.col("payment.method").alias("payment_method"),
-        F.col("payment.installments").alias("payment_installments"),
-        F.col("payment.amount_usd").alias("payment_amount_usd"),
-        F.col("shipping_snapshot.destination_district").alias("destination_district"),
-        F.col("shipping_snapshot.destination_lat").alias("destination_lat"),
-        F.col("shipping_snapshot.destination_lon").alias("destination_lon"),
-        F.col("shipping_snapshot.address_text").alias("address_text"),
-    ]
-
-
-def _array_sum(items: Column, value) -> Column:
-    """Sum over an array inside the row; NULL values are skipped.
-
-    NULL for a NULL or empty array, and for one without any value.
-    """
-    present = F.filter(F.transform(items, value), lambda v: v.isNotNull())
-    total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+ORDER_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "order_status",
+    "CAST(order_timestamp AS TIMESTAMP_NTZ) AS order_timestamp",
+    "payment.method AS payment_method",
+    "payment.installments AS payment_installments",
+    "payment.amount_usd AS payment_amount_usd",
+    "shipping_snapshot.destination_district AS destination_district",
+    "shipping_snapshot.destination_lat AS destination_lat",
+    "shipping_snapshot.destination_lon AS destination_lon",
+    "shipping_snapshot.address_text AS address_text",
+)
+
+
+def _array_sum(values: Column) -> Column:
+    """Sum of an array inside its row; NULL if it has no non-NULL value."""
+    present = F.array_compact(values)
+    total = F.aggregate(present, F.lit(0.0), lambda sum_, value: sum_ + value.cast("double"))
     return F.when(F.size(present) > 0, total)
 
 
 def item_totals(items: Column) -> list[Column]:
-    """Item count, goods value and freight of an order's item array."""
+    """Item count, goods value and freight of an order's item array.
+
+    Fields are taken from the array as a whole (an array per field), so that a
+    scan reads only those in use; a lambda over structs would read all.
+    """
+    values = F.zip_with(items["quantity"], items["unit_price_usd"], lambda n, price: n * price)
     return [
         F.when(items.isNotNull(), F.size(items)).cast("bigint").alias("item_count"),
-        _array_sum(items, lambda i: i["quantity"] * i["unit_price_usd"]).alias("subtotal_usd"),
-        _array_sum(items, lambda i: i["freight_value_usd"]).alias("total_freight_usd"),
+        _array_sum(values).alias("subtotal_usd"),
+        _array_sum(items["freight_value_usd"]).alias("total_freight_usd"),
     ]
 
 
 def orders(raw: DataFrame) -> DataFrame:
     """One row per order document; the array is totalled inside its row."""
-    return raw.select(*_order_columns(), *item_totals(F.col("line_items")))
+    return raw.select(*map(F.expr, ORDER_COLUMNS), *item_totals(F.col("line_items")))
 
 
 def orders_with_totals(headers: DataFrame) -> DataFrame:
     """As :func:`orders`, for documents whose item totals come ready-made."""
-    return headers.select(*_order_columns(), *ITEM_TOTALS)
+    return headers.selectExpr(*ORDER_COLUMNS, *ITEM_TOTALS)
 
 
 def document_totals(item_documents: DataFrame) -> DataFrame:
@@ -88,24 +87,18 @@ def flat_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def _item_columns() -> list[Column]:
-    return [
-        F.col("item.product_id"),
-        F.col("item.seller_id"),
-        F.col("item.quantity"),
-        F.col("item.unit_price_usd"),
-        F.col("item.freight_value_usd"),
-        (F.col("item.quantity") * F.col("item.unit_price_usd")).alias("line_total_usd"),
-    ]
-
-
 def order_items(raw: DataFrame) -> DataFrame:
     """One row per line item; orders with an empty or NULL array have none."""
-    return raw.select(
+    return raw.select("order_id", "order_timestamp", F.explode("line_items").alias("item")).selectExpr(
         "order_id",
-        naive(F.col("order_timestamp")).alias("order_timestamp"),
-        F.explode("line_items").alias("item"),
-    ).select("order_id", "order_timestamp", *_item_columns())
+        "CAST(order_timestamp AS TIMESTAMP_NTZ) AS order_timestamp",
+        "item.product_id",
+        "item.seller_id",
+        "item.quantity",
+        "item.unit_price_usd",
+        "item.freight_value_usd",
+        "item.quantity * item.unit_price_usd AS line_total_usd",
+    )
 
 
 # -- deliveries ---------------------------------------------------------------
@@ -113,22 +106,22 @@ def order_items(raw: DataFrame) -> DataFrame:
 
 def deliveries(raw: DataFrame) -> DataFrame:
     """One row per delivery stop, nested documents flattened."""
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
         "route_id",
         "driver_id",
         "stop_number",
         "vehicle_type",
-        F.col("spatial_data.destination_lat").alias("destination_lat"),
-        F.col("spatial_data.destination_lon").alias("destination_lon"),
-        F.col("spatial_data.distance_from_prev_km").alias("distance_from_prev_km"),
+        "spatial_data.destination_lat AS destination_lat",
+        "spatial_data.destination_lon AS destination_lon",
+        "spatial_data.distance_from_prev_km AS distance_from_prev_km",
         "h3_cell_9",
         "grid_cell_id",
-        naive(F.col("telemetry.dispatched_at")).alias("dispatched_at"),
-        naive(F.col("telemetry.estimated_arrival_at")).alias("estimated_arrival_at"),
-        naive(F.col("telemetry.actual_arrival_at")).alias("actual_arrival_at"),
-        F.col("telemetry.status").alias("delivery_status"),
-        F.col("complexity_factors.traffic_zone").alias("traffic_zone"),
-        F.col("complexity_factors.has_hem_access").alias("has_hem_access"),
-        F.col("complexity_factors.weather_condition").alias("weather_condition"),
+        "CAST(telemetry.dispatched_at AS TIMESTAMP_NTZ) AS dispatched_at",
+        "CAST(telemetry.estimated_arrival_at AS TIMESTAMP_NTZ) AS estimated_arrival_at",
+        "CAST(telemetry.actual_arrival_at AS TIMESTAMP_NTZ) AS actual_arrival_at",
+        "telemetry.status AS delivery_status",
+        "complexity_factors.traffic_zone AS traffic_zone",
+        "complexity_factors.has_hem_access AS has_hem_access",
+        "complexity_factors.weather_condition AS weather_condition",
     )

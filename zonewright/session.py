@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column operation more than doubles
+    # the time it takes to describe a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

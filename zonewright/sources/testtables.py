@@ -7,11 +7,10 @@ against, so a result can be compared bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewright.functions.numeric import round_half_away
-from zonewright.functions.temporal import plus_seconds
 from zonewright.operators.prefix import running_totals
 from zonewright.operators.spatial import with_cells
 
@@ -34,6 +33,14 @@ PAYMENT_METHODS = ["credit_card", "cod", "momo", "zalopay"]
 INSTALLMENTS = [1, 1, 1, 3, 6]
 DRIVERS = 50
 
+# A route is a driver's month; by day almost every route would have one stop.
+DRIVER_ID = f"concat('DRV_', lpad(string({{key}} % {DRIVERS} + 1), 3, '0'))"
+ROUTE_ID = (
+    "concat('RT_', date_format(trunc(o_orderdate, 'month'), 'yyyyMMdd'), '_', "
+    + DRIVER_ID
+    + ")"
+)
+
 # Items of one order that lie this far apart in the file go to separate
 # documents, which bounds a document's array however many items an order has.
 ITEM_BLOCK_ROWS = 65_536
@@ -47,63 +54,61 @@ class TestTables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- dimensions -----------------------------------------------------------
 
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey").cast("string")
-        return self["customer"].select(
-            key.alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.lpad(key, 10, "0").alias("phone"),
-            F.col("c_mktsegment").alias("segment"),
-            _district("name", F.col("c_nationkey")).alias("district"),
+        return self["customer"].selectExpr(
+            "string(c_custkey) AS customer_id",
+            "c_name AS customer_name",
+            "lpad(string(c_custkey), 10, '0') AS phone",
+            "c_mktsegment AS segment",
+            f"{_district('name', 'c_nationkey')} AS district",
         )
 
     def products(self) -> DataFrame:
-        return self["part"].select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_retailprice").alias("price_usd"),
-            (F.lit(100) + (F.col("p_partkey") * 37) % 4901).cast("bigint").alias("weight_g"),
+        return self["part"].selectExpr(
+            "string(p_partkey) AS product_id",
+            "p_name AS product_name",
+            "p_type AS category",
+            "p_retailprice AS price_usd",
+            "bigint(100 + (p_partkey * 37) % 4901) AS weight_g",
         )
 
     def sellers(self) -> DataFrame:
-        nation = F.col("s_nationkey")
-        shift = (F.col("s_suppkey") * 7919) % 6001 - 3000
-        return self["supplier"].select(
-            F.col("s_suppkey").cast("string").alias("seller_id"),
-            F.col("s_name").alias("seller_name"),
-            _district("name", nation).alias("district"),
-            _degrees(_district("lat6", nation) + shift).alias("warehouse_lat"),
-            _degrees(_district("lon6", nation) + shift).alias("warehouse_lon"),
+        shift = "(s_suppkey * 7919) % 6001 - 3000"
+        return self["supplier"].selectExpr(
+            "string(s_suppkey) AS seller_id",
+            "s_name AS seller_name",
+            f"{_district('name', 's_nationkey')} AS district",
+            f"double({_district('lat6', 's_nationkey')} + {shift}) / 1000000D AS warehouse_lat",
+            f"double({_district('lon6', 's_nationkey')} + {shift}) / 1000000D AS warehouse_lon",
         )
 
     # -- facts ----------------------------------------------------------------
 
     def _located_orders(self) -> DataFrame:
         """Orders with the two pseudo-random draws and the destination point."""
-        k = F.col("o_orderkey")
-        nation = F.col("c_nationkey")
-        return (
-            self["orders"]
-            .join(self["customer"], F.col("o_custkey") == F.col("c_custkey"))
-            .select(
-                k.alias("k"),
-                F.col("o_custkey"),
-                F.col("o_orderstatus"),
-                F.col("o_orderdate"),
-                ((k * 16807 + 7) % 997).alias("h"),
-                ((k * 48271 + 11) % 1009).alias("u"),
-                _district("name", nation).alias("district"),
-                _district("complex", nation).alias("is_complex"),
-                (_district("lat6", nation) + (k * 7919) % 80001 - 40000).alias("lat6"),
-                (_district("lon6", nation) + (k * 104729) % 80001 - 40000).alias("lon6"),
-            )
+        orders, customer = self["orders"], self["customer"]
+        return orders.join(
+            customer, orders["o_custkey"] == customer["c_custkey"]
+        ).selectExpr(
+            "o_orderkey AS k",
+            "o_custkey",
+            "o_orderstatus",
+            "o_orderdate",
+            "(o_orderkey * 16807 + 7) % 997 AS h",
+            "(o_orderkey * 48271 + 11) % 1009 AS u",
+            f"{_district('name', 'c_nationkey')} AS district",
+            f"{_district('complex', 'c_nationkey')} AS is_complex",
+            f"{_district('lat6', 'c_nationkey')} + (o_orderkey * 7919) % 80001 - 40000 AS lat6",
+            f"{_district('lon6', 'c_nationkey')} + (o_orderkey * 104729) % 80001 - 40000 AS lon6",
         )
 
     def delivery_telemetry(self, stop_numbers: bool = False) -> DataFrame:
@@ -112,69 +117,53 @@ class TestTables:
         A stop number is a row's rank within its route. Only the queries that
         show it pay for the ranking; for the others it is NULL.
         """
-        k, h, u = F.col("k"), F.col("h"), F.col("u")
-        lat6, lon6 = F.col("lat6"), F.col("lon6")
-        noise = (_div(lat6, 10000) * 31 + _div(lon6, 10000) * 17) % 256
-        late = F.when(F.col("is_complex"), u < 353 + 2 * noise).otherwise(u * 256 < noise * 222)
-        driver_id = _driver_id(k)
-        estimated = plus_seconds(F.col("o_orderdate"), 7200 + (h % 360) * 60 + k % 60)
-        orders = self._located_orders().withColumn(
-            "route_id", _route_id(F.col("o_orderdate"), driver_id)
+        noise = "((lat6 div 10000) * 31 + (lon6 div 10000) * 17) % 256"
+        orders = self._located_orders().selectExpr(
+            "*",
+            f"if(is_complex, u < 353 + 2 * ({noise}), u * 256 < ({noise}) * 222) AS late",
+            "timestampadd(SECOND, 7200 + (h % 360) * 60 + k % 60, o_orderdate) AS estimated",
+            f"{DRIVER_ID.format(key='k')} AS driver_id",
+            f"{ROUTE_ID.format(key='k')} AS route_id",
         )
         if stop_numbers:
             orders = running_totals(orders, group="route_id", order="k", rank="stop_number")
         else:
             orders = orders.withColumn("stop_number", F.lit(None).cast("bigint"))
-        return (
-            orders.withColumn("late", late)
-            .withColumn("delay", F.when(F.col("late"), 15 + h % 46).otherwise(h % 11 - 2))
-            .withColumn("estimated", estimated)
-            .select(
-                k.alias("order_id"),
-                "route_id",
-                driver_id.alias("driver_id"),
-                "stop_number",
-                F.when((k % DRIVERS) % 2 == 0, "van").otherwise("motorbike").alias("vehicle_type"),
-                F.struct(
-                    _degrees(lat6).alias("destination_lat"),
-                    _degrees(lon6).alias("destination_lon"),
-                    ((30 + h % 371).cast("double") / 100.0).alias("distance_from_prev_km"),
-                ).alias("spatial_data"),
-                F.struct(
-                    plus_seconds(F.col("o_orderdate"), F.lit(7200)).alias("dispatched_at"),
-                    F.col("estimated").alias("estimated_arrival_at"),
-                    plus_seconds(F.col("estimated"), F.col("delay") * 60 + k % 7).alias(
-                        "actual_arrival_at"
-                    ),
-                    F.when(F.col("late") & (h % 100 < 12), "failed")
-                    .otherwise("delivered")
-                    .alias("status"),
-                ).alias("telemetry"),
-                F.struct(
-                    F.when(F.col("late"), "high")
-                    .when(h % 2 == 0, "low")
-                    .otherwise("medium")
-                    .alias("traffic_zone"),
-                    (F.col("late") | (h % 5 == 0)).alias("has_hem_access"),
-                    F.when(h % 3 == 2, "rainy").otherwise("clear").alias("weather_condition"),
-                ).alias("complexity_factors"),
-            )
+        delay = "if(late, 15 + h % 46, h % 11 - 2)"
+        return orders.selectExpr(
+            "k AS order_id",
+            "route_id",
+            "driver_id",
+            "stop_number",
+            f"if((k % {DRIVERS}) % 2 = 0, 'van', 'motorbike') AS vehicle_type",
+            """named_struct(
+                'destination_lat', double(lat6) / 1000000D,
+                'destination_lon', double(lon6) / 1000000D,
+                'distance_from_prev_km', double(30 + h % 371) / 100D) AS spatial_data""",
+            f"""named_struct(
+                'dispatched_at', timestampadd(SECOND, 7200, o_orderdate),
+                'estimated_arrival_at', estimated,
+                'actual_arrival_at', timestampadd(SECOND, ({delay}) * 60 + k % 7, estimated),
+                'status', if(late AND h % 100 < 12, 'failed', 'delivered')) AS telemetry""",
+            """named_struct(
+                'traffic_zone', CASE WHEN late THEN 'high' WHEN h % 2 = 0 THEN 'low'
+                                     ELSE 'medium' END,
+                'has_hem_access', late OR h % 5 = 0,
+                'weather_condition', if(h % 3 = 2, 'rainy', 'clear')) AS complexity_factors""",
         )
 
     def raw_deliveries(self, stop_numbers: bool = False) -> DataFrame:
         """Telemetry documents with both zone ids."""
         return with_cells(self.delivery_telemetry(stop_numbers))
 
-    def _items(self, *extra: Column) -> DataFrame:
-        quantity = F.col("l_quantity")
-        freight = 0.5 + 0.25 * ((F.col("l_partkey") + F.col("l_linenumber")) % 13)
-        return self["lineitem"].select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            quantity.cast("bigint").alias("quantity"),
-            F.try_divide(F.col("l_extendedprice"), quantity).alias("unit_price_usd"),
-            freight.alias("freight_value_usd"),
+    def _items(self, *extra: str) -> DataFrame:
+        return self["lineitem"].selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            "l_suppkey AS seller_id",
+            "bigint(l_quantity) AS quantity",
+            "try_divide(l_extendedprice, l_quantity) AS unit_price_usd",
+            "0.5D + 0.25D * ((l_partkey + l_linenumber) % 13) AS freight_value_usd",
             *extra,
         )
 
@@ -188,14 +177,12 @@ class TestTables:
         The array of an order is collected per block of the source file, so its
         length is bounded and an order with very many items spreads over tasks.
         """
-        block = F.xxhash64(
-            "_metadata.file_path", _div(F.col("_metadata.row_index"), ITEM_BLOCK_ROWS)
-        )
+        block = f"xxhash64(_metadata.file_path, _metadata.row_index div {ITEM_BLOCK_ROWS}) AS block"
         item = F.struct(
             "product_id", "seller_id", "quantity", "unit_price_usd", "freight_value_usd"
         )
         return (
-            self._items(block.alias("block"))
+            self._items(block)
             .groupBy("order_id", "block")
             .agg(F.collect_list(item).alias("line_items"))
             .select("order_id", "line_items")
@@ -207,34 +194,27 @@ class TestTables:
         ``totals`` is one row per order that has items; the amount paid follows
         from it.
         """
-        k = F.col("k")
-        amount = round_half_away(F.col("subtotal_usd") + F.col("total_freight_usd"), 2)
         orders = self._located_orders()
-        return orders.join(totals, orders["k"] == totals["order_id"], "left").select(
-            k.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.when(k % 20 == 0, "cancelled")
-            .when(F.col("o_orderstatus") == "F", "delivered")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .when(F.col("o_orderstatus") == "P", "processing")
-            .alias("order_status"),
-            F.col("o_orderdate").alias("order_timestamp"),
-            F.struct(
-                _pick(PAYMENT_METHODS, k).alias("method"),
-                _pick(INSTALLMENTS, k).cast("bigint").alias("installments"),
-                amount.alias("amount_usd"),
-            ).alias("payment"),
-            F.struct(
-                F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias(
-                    "recipient_name"
-                ),
-                F.col("district").alias("destination_district"),
-                _degrees(F.col("lat6")).alias("destination_lat"),
-                _degrees(F.col("lon6")).alias("destination_lon"),
-                F.concat(F.lit("No. "), k.cast("string"), F.lit(", "), F.col("district")).alias(
-                    "address_text"
-                ),
-            ).alias("shipping_snapshot"),
+        joined = orders.join(totals, orders["k"] == totals["order_id"], "left")
+        paid = round_half_away(F.col("subtotal_usd") + F.col("total_freight_usd"), 2)
+        return joined.withColumn("paid", paid).selectExpr(
+            "k AS order_id",
+            "o_custkey AS customer_id",
+            """CASE WHEN k % 20 = 0 THEN 'cancelled'
+                    WHEN o_orderstatus = 'F' THEN 'delivered'
+                    WHEN o_orderstatus = 'O' THEN 'shipped'
+                    WHEN o_orderstatus = 'P' THEN 'processing' END AS order_status""",
+            "o_orderdate AS order_timestamp",
+            f"""named_struct(
+                'method', {_pick(PAYMENT_METHODS, 'k')},
+                'installments', bigint({_pick(INSTALLMENTS, 'k')}),
+                'amount_usd', paid) AS payment""",
+            """named_struct(
+                'recipient_name', concat('Customer ', o_custkey),
+                'destination_district', district,
+                'destination_lat', double(lat6) / 1000000D,
+                'destination_lon', double(lon6) / 1000000D,
+                'address_text', concat('No. ', k, ', ', district)) AS shipping_snapshot""",
             "item_count",
             "subtotal_usd",
             "total_freight_usd",
@@ -242,44 +222,22 @@ class TestTables:
 
     def route_stops(self) -> DataFrame:
         """(route_id, stop_key, ordered_at, leg_minutes) of every delivery."""
-        k = F.col("o_orderkey")
-        h = (k * 16807 + 7) % 997
-        orders = self["orders"].join(
-            self["customer"].select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")
+        orders, customer = self["orders"], self["customer"]
+        placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+        return placed.selectExpr(
+            f"{ROUTE_ID.format(key='o_orderkey')} AS route_id",
+            "o_orderkey AS stop_key",
+            "o_orderdate AS ordered_at",
+            "((30 + ((o_orderkey * 16807 + 7) % 997) % 371) * 8) div 100 + 2 AS leg_minutes",
         )
-        return orders.select(
-            _route_id(F.col("o_orderdate"), _driver_id(k)).alias("route_id"),
-            k.alias("stop_key"),
-            F.col("o_orderdate").alias("ordered_at"),
-            (_div((30 + h % 371) * 8, 100) + 2).alias("leg_minutes"),
-        )
-
-
-def _div(x: Column, by: int) -> Column:
-    """Integer division of a non-negative number."""
-    return F.floor(x / F.lit(by))
 
 
-def _degrees(millionths: Column) -> Column:
-    return millionths.cast("double") / 1000000.0
+def _pick(values: list, key: str) -> str:
+    """SQL for the value at ``key`` modulo the length of the list."""
+    literals = ", ".join(repr(v).lower() if isinstance(v, bool) else repr(v) for v in values)
+    return f"element_at(array({literals}), int({key} % {len(values)}) + 1)"
 
 
-def _pick(values: list, key: Column) -> Column:
-    """The value at ``key`` modulo the length of the list."""
-    position = (key % len(values)).cast("int") + 1
-    return F.element_at(F.array(*[F.lit(v) for v in values]), position)
-
-
-def _district(attribute: str, nation_key: Column) -> Column:
+def _district(attribute: str, nation_key: str) -> str:
     column = ("name", "lat6", "lon6", "complex").index(attribute)
     return _pick([row[column] for row in DISTRICTS], nation_key)
-
-
-def _driver_id(k: Column) -> Column:
-    return F.concat(F.lit("DRV_"), F.lpad((k % DRIVERS + 1).cast("string"), 3, "0"))
-
-
-def _route_id(ordered_at: Column, driver_id: Column) -> Column:
-    """A route is a driver's month; by day almost every route has one stop."""
-    month = F.date_format(F.trunc(ordered_at, "month"), "yyyyMMdd")
-    return F.concat(F.lit("RT_"), month, F.lit("_"), driver_id)
