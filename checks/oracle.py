@@ -1,7 +1,8 @@
 """SQL that must give the same rows as the registered queries.
 
-Written independently of the Spark plans: one branch per zone scheme, scalar
-subqueries, plain windows. ``r(x, n)`` stands for the rounding both sides use.
+Written independently of the Spark plans: indicator columns on single
+deliveries, window functions over zones, ranks for modes, distances by chord.
+``r(x, n)`` stands for the rounding both sides use.
 """
 
 from __future__ import annotations
@@ -114,9 +115,9 @@ items AS (
            l_quantity::bigint AS quantity, l_extendedprice / l_quantity AS unit_price_usd,
            0.5::double + 0.25::double * ((l_partkey + l_linenumber) % 13) AS freight_value_usd
     FROM lineitem),
-nested AS (
-    SELECT order_id, list({'quantity': quantity, 'price': unit_price_usd,
-                           'freight': freight_value_usd}) AS line_items
+baskets AS (
+    SELECT order_id, count(*) AS item_count, sum(quantity * unit_price_usd) AS subtotal_usd,
+           sum(freight_value_usd) AS total_freight_usd
     FROM items GROUP BY order_id),
 staged_orders AS (
     SELECT k AS order_id, o_custkey AS customer_id,
@@ -131,149 +132,140 @@ staged_orders AS (
            lat6::double / 1000000.0::double AS destination_lat,
            lon6::double / 1000000.0::double AS destination_lon,
            'No. ' || k || ', ' || district AS address_text,
-           len(line_items)::bigint AS item_count,
-           (SELECT sum(i.quantity * i.price) FROM unnest(line_items) t(i)) AS subtotal_usd,
-           (SELECT sum(i.freight) FROM unnest(line_items) t(i)) AS total_freight_usd
-    FROM seeded LEFT JOIN nested ON order_id = k),
-joined AS (
-    SELECT d.*, o.destination_district, o.total_freight_usd, o.payment_method,
-           datediff('minute', d.estimated_arrival_at, d.actual_arrival_at) AS delay_minutes
-    FROM deliveries d LEFT JOIN staged_orders o ON d.order_id = o.order_id),
-costed AS (
-    SELECT *, delay_minutes / 60.0::double
-              * (CASE vehicle_type WHEN 'van' THEN 5.0::double ELSE 3.0::double END)
-              AS delay_cost_usd
-    FROM joined),
+           item_count, subtotal_usd, total_freight_usd
+    FROM seeded LEFT JOIN baskets ON order_id = k),
 metrics AS (
-    SELECT *, delay_cost_usd - coalesce(total_freight_usd, 0) AS margin_gap_usd FROM costed)
+    SELECT d.*, o.destination_district, o.total_freight_usd, o.payment_method,
+           (epoch_us(date_trunc('minute', d.actual_arrival_at))
+            - epoch_us(date_trunc('minute', d.estimated_arrival_at))) // 60000000
+               AS delay_minutes,
+           delay_minutes * if(d.vehicle_type = 'van', 5, 3) / 60.0::double AS delay_cost_usd,
+           delay_cost_usd - ifnull(o.total_freight_usd, 0) AS margin_gap_usd,
+           (delay_minutes > 15)::int AS late,
+           (d.delivery_status = 'failed')::int AS failed,
+           d.has_hem_access::int AS hem
+    FROM deliveries d LEFT JOIN staged_orders o USING (order_id))
 """
 )
 
-_ZONE = """
-    count(*) AS total_deliveries,
-    r(avg(delay_minutes), 1) AS avg_delay_minutes,
-    r(sum(delay_cost_usd), 2) AS total_delay_cost_usd,
-    r(sum(margin_gap_usd), 2) AS total_margin_gap_usd,
-    r(avg(margin_gap_usd), 2) AS avg_margin_gap_usd,
-    r(100.0 * count(*) FILTER (WHERE delivery_status = 'failed') / count(*), 1)
-        AS failure_rate_pct,
-    r(100.0 * count(*) FILTER (WHERE has_hem_access = true) / count(*), 1) AS hem_access_pct,
-    count(DISTINCT driver_id) AS unique_drivers,
-    avg(delay_minutes) > 15 AS is_hotspot,
-    mode() WITHIN GROUP (ORDER BY traffic_zone) AS dominant_traffic_zone
+# Both zone schemes in one relation: every delivery once per scheme.
+ZONED = """
+zoned AS (
+    SELECT 'H3' AS method, h3_cell_9 AS cell, * FROM metrics WHERE h3_cell_9 IS NOT NULL
+    UNION ALL
+    SELECT 'Grid', grid_cell_id, * FROM metrics WHERE grid_cell_id IS NOT NULL)
+"""
+
+
+def _mode(name: str, column: str) -> str:
+    """Most frequent value of a column per zone, found by rank."""
+    return f"""
+{name} AS (
+    SELECT method, cell, {column} AS {name}
+    FROM zoned WHERE {column} IS NOT NULL GROUP BY method, cell, {column}
+    QUALIFY row_number() OVER (PARTITION BY method, cell ORDER BY count(*) DESC, {column}) = 1)
+"""
+
+
+ZONES = (
+    ZONED
+    + ","
+    + _mode("dominant_traffic_zone", "traffic_zone")
+    + ","
+    + _mode("dominant_district", "destination_district")
+    + """,
+zone_totals AS (
+    SELECT method, cell, count(*) AS total_deliveries, r(avg(delay_minutes), 1) AS avg_delay_minutes,
+           r(sum(delay_cost_usd), 2) AS total_delay_cost_usd,
+           r(sum(margin_gap_usd), 2) AS total_margin_gap_usd,
+           r(avg(margin_gap_usd), 2) AS avg_margin_gap_usd,
+           r(avg(failed) * 100, 1) AS failure_rate_pct, r(avg(hem) * 100, 1) AS hem_access_pct,
+           len(list_distinct(list(driver_id)))::bigint AS unique_drivers,
+           sum(delay_minutes - 15) > 0 AS is_hotspot,
+           min(floor(destination_lat / 0.01::double)) * 0.01::double AS south,
+           min(floor(destination_lon / 0.01::double)) * 0.01::double AS west
+    FROM zoned GROUP BY method, cell)
 """
+)
 
 MART_H3 = f"""
+{ZONES},
 mart_h3 AS (
-    SELECT h3_cell_9, {_ZONE},
-           mode() WITHIN GROUP (ORDER BY destination_district) AS dominant_district
-    FROM metrics WHERE h3_cell_9 IS NOT NULL GROUP BY h3_cell_9)
+    SELECT cell AS h3_cell_9, * EXCLUDE (method, cell, south, west)
+    FROM zone_totals
+    LEFT JOIN dominant_traffic_zone USING (method, cell)
+    LEFT JOIN dominant_district USING (method, cell)
+    WHERE method = 'H3')
 """
 
 MART_KPIS = """
 mart_kpis AS (
-    SELECT count(*) AS total_deliveries,
-           r(avg(delay_minutes), 1) AS avg_delay_minutes,
-           r(100.0 * count(*) FILTER (WHERE delay_minutes > 15) / count(*), 1)
-               AS pct_severely_delayed,
-           r(sum(CASE WHEN delay_minutes > 15 THEN delay_cost_usd ELSE 0 END), 0)
-               AS at_risk_cost_usd,
-           r(sum(CASE WHEN delay_minutes > 15 THEN margin_gap_usd ELSE 0 END), 0)
-               AS total_margin_gap_usd,
-           count(DISTINCT h3_cell_9) AS unique_h3_cells,
-           count(DISTINCT grid_cell_id) AS unique_grid_cells
+    SELECT count(*) AS total_deliveries, r(avg(delay_minutes), 1) AS avg_delay_minutes,
+           r(avg(late) * 100, 1) AS pct_severely_delayed,
+           r(sum(late * delay_cost_usd), 0) AS at_risk_cost_usd,
+           r(sum(late * margin_gap_usd), 0) AS total_margin_gap_usd,
+           (SELECT count(*) FROM (SELECT DISTINCT h3_cell_9 FROM metrics)) AS unique_h3_cells,
+           (SELECT count(*) FROM (SELECT DISTINCT grid_cell_id FROM metrics))
+               AS unique_grid_cells
     FROM metrics)
 """
 
 MART_DISTRICT = """
 mart_district AS (
     SELECT destination_district, count(*) AS total_deliveries,
-           r(avg(delay_minutes), 1) AS avg_delay_minutes,
-           r(100.0 * count(*) FILTER (WHERE delay_minutes > 15) / count(*), 1) AS pct_delayed,
-           r(100.0 * count(*) FILTER (WHERE delivery_status = 'failed') / count(*), 1)
-               AS failure_rate_pct,
+           r(avg(delay_minutes), 1) AS avg_delay_minutes, r(avg(late) * 100, 1) AS pct_delayed,
+           r(avg(failed) * 100, 1) AS failure_rate_pct,
            r(sum(delay_cost_usd), 2) AS total_delay_cost_usd,
-           r(sum(CASE WHEN delay_minutes > 15 THEN margin_gap_usd ELSE 0 END), 0)
-               AS margin_gap_usd
-    FROM metrics WHERE destination_district IS NOT NULL GROUP BY destination_district)
-"""
-
-
-def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"2 * 6371 * asin(sqrt(pow(sin(radians(({lat2} - {lat1}) / 2.0::double)), 2)"
-        f" + cos(radians({lat1})) * cos(radians({lat2}))"
-        f" * pow(sin(radians(({lon2} - {lon1}) / 2.0::double)), 2)))"
-    )
-
-
-CENTROIDS = """
-hex_centroids AS (
-    SELECT h3_cell_9, avg(destination_lat) AS centroid_lat, avg(destination_lon) AS centroid_lon
-    FROM deliveries WHERE h3_cell_9 IS NOT NULL GROUP BY h3_cell_9),
-grid_centroids AS (
-    SELECT DISTINCT grid_cell_id,
-           floor(destination_lat / 0.01::double) * 0.01::double + 0.005::double AS centroid_lat,
-           floor(destination_lon / 0.01::double) * 0.01::double + 0.005::double AS centroid_lon
-    FROM deliveries WHERE grid_cell_id IS NOT NULL)
+           r(sum(late * margin_gap_usd), 0) AS margin_gap_usd
+    FROM metrics GROUP BY destination_district HAVING destination_district IS NOT NULL)
 """
 
 
-def _mean_distance(centroids: str, cell: str) -> str:
-    distance = _haversine("destination_lat", "destination_lon", "centroid_lat", "centroid_lon")
-    return f"(SELECT r(avg({distance}), 4) FROM deliveries JOIN {centroids} USING ({cell}))"
-
-
-def _cells(name: str, cell: str) -> str:
-    return f"""
-{name} AS (
-    SELECT {cell} AS cell, count(*) AS deliveries, avg(delay_minutes) AS avg_delay,
-           stddev(delay_minutes) AS stddev_delay, sum(margin_gap_usd) AS cell_margin_gap,
-           count(*) FILTER (WHERE delay_minutes > 15) AS delayed_count,
-           avg(delay_minutes) > 15 AS is_hotspot
-    FROM metrics WHERE {cell} IS NOT NULL GROUP BY {cell})
+def _chord_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Great-circle distance from the straight line between two points on the unit sphere."""
+
+    def axes(lat: str, lon: str) -> list[str]:
+        lat, lon = f"radians({lat})", f"radians({lon})"
+        return [f"cos({lat}) * cos({lon})", f"cos({lat}) * sin({lon})", f"sin({lat})"]
+
+    squares = [f"pow({a} - {b}, 2)" for a, b in zip(axes(lat1, lon1), axes(lat2, lon2))]
+    return f"12742 * asin(sqrt({' + '.join(squares)}) / 2)"
+
+
+# Every delivery next to the figures of its zone.
+_POINT = _chord_km("destination_lat", "destination_lon", "zone_lat", "zone_lon")
+PLACED = f"""
+{ZONED},
+in_zone AS (
+    SELECT method, cell, destination_lat, destination_lon, late, delay_minutes, margin_gap_usd,
+           count(*) OVER zone AS n,
+           avg(delay_minutes) OVER zone AS zone_delay,
+           stddev_samp(delay_minutes) OVER zone AS zone_spread,
+           if(method = 'H3', avg(destination_lat) OVER zone,
+              floor(destination_lat / 0.01::double) * 0.01::double + 0.005::double) AS zone_lat,
+           if(method = 'H3', avg(destination_lon) OVER zone,
+              floor(destination_lon / 0.01::double) * 0.01::double + 0.005::double) AS zone_lon,
+           row_number() OVER (PARTITION BY method, cell ORDER BY order_id) = 1 AS is_first
+    FROM zoned WINDOW zone AS (PARTITION BY method, cell)),
+placed AS (SELECT *, zone_delay > 15 AS hot, {_POINT} AS km FROM in_zone)
 """
 
-
-CELLS = _cells("hex_cells", "h3_cell_9") + "," + _cells("grid_cells", "grid_cell_id")
-
-TOTALS = """
-totals AS (
-    SELECT count(*) AS total_deliveries,
-           count(*) FILTER (WHERE delay_minutes > 15) AS total_delayed,
-           sum(margin_gap_usd) AS total_margin_gap
-    FROM metrics)
-"""
-
-
-def _method(label: str, cells: str, centroids: str, cell: str, sdc: str) -> str:
-    return f"""
-SELECT '{label}' AS method, count(*) AS total_cells,
-       count(*) FILTER (WHERE is_hotspot) AS hotspot_cells,
-       r(100.0 * sum(delayed_count) FILTER (WHERE is_hotspot)
-         / nullif((SELECT total_delayed FROM totals), 0), 1) AS hotspot_capture_rate_pct,
-       r(100.0 * sum(delayed_count) FILTER (WHERE is_hotspot)
-         / nullif(sum(deliveries) FILTER (WHERE is_hotspot), 0), 1) AS hotspot_precision_pct,
-       r(sum(cell_margin_gap) FILTER (WHERE is_hotspot), 2) AS margin_gap_in_hotspots_usd,
-       r(100.0 * sum(cell_margin_gap) FILTER (WHERE is_hotspot)
-         / nullif((SELECT total_margin_gap FROM totals), 0), 1) AS margin_gap_capture_pct,
-       r(avg(stddev_delay), 2) AS avg_within_cell_delay_stddev,
-       {_mean_distance(centroids, cell)} AS mdqe_km,
-       {sdc}::double AS sdc_km,
+COMPARISON = """
+SELECT if(method = 'H3', 'H3 (res=9, ~0.1 km²)', 'Grid (0.01°, ~1.1 km²)') AS method,
+       count(*) FILTER (WHERE is_first) AS total_cells,
+       count(*) FILTER (WHERE is_first AND hot) AS hotspot_cells,
+       r(100 * sum(if(hot, late, NULL)) / max(fleet_late), 1) AS hotspot_capture_rate_pct,
+       r(100 * avg(if(hot, late, NULL)), 1) AS hotspot_precision_pct,
+       r(sum(if(hot, margin_gap_usd, NULL)), 2) AS margin_gap_in_hotspots_usd,
+       r(100 * sum(if(hot, margin_gap_usd, NULL)) / max(fleet_gap), 1) AS margin_gap_capture_pct,
+       r(avg(if(is_first, zone_spread, NULL)), 2) AS avg_within_cell_delay_stddev,
+       r(avg(km), 4) AS mdqe_km,
+       if(method = 'H3', 0, 0.228)::double AS sdc_km,
        NULL::double AS cl_us_per_row
-FROM {cells}
+FROM placed, (SELECT sum(late) AS fleet_late, sum(margin_gap_usd) AS fleet_gap FROM metrics)
+GROUP BY placed.method
 """
 
-
-def _stats(method: str, cells: str) -> str:
-    return f"""
-SELECT '{method}' AS method, cell, deliveries, r(avg_delay, 4) AS avg_delay,
-       r(stddev_delay, 4) AS stddev_delay, r(cell_margin_gap, 2) AS cell_margin_gap,
-       delayed_count, is_hotspot
-FROM {cells}
-"""
-
-
 # Cells of the lattice between bounds(south, west, north, east).
 LATTICE = """
 steps AS (
@@ -498,62 +490,58 @@ ORACLE: dict[str, str] = {
     "mart_h3": _with(BASE, MART_H3, select="SELECT * FROM mart_h3"),
     "mart_grid": _with(
         BASE,
-        """
-        parsed AS (
-            SELECT *, split_part(grid_cell_id, '_', 1)::integer * 0.01 AS cell_lat_min,
-                   split_part(grid_cell_id, '_', 2)::integer * 0.01 AS cell_lon_min
-            FROM metrics WHERE grid_cell_id IS NOT NULL)
-        """,
-        select=f"""
-        SELECT grid_cell_id, r(cell_lat_min + 0.005, 4) AS cell_lat_center,
-               r(cell_lon_min + 0.005, 4) AS cell_lon_center, {_ZONE}
-        FROM parsed GROUP BY grid_cell_id, cell_lat_min, cell_lon_min
+        ZONES,
+        select="""
+        SELECT cell AS grid_cell_id, r(south + 0.005, 4) AS cell_lat_center,
+               r(west + 0.005, 4) AS cell_lon_center, * EXCLUDE (method, cell, south, west)
+        FROM zone_totals LEFT JOIN dominant_traffic_zone USING (method, cell)
+        WHERE method = 'Grid'
         """,
     ),
-    "mart_spatial_comparison": _with(
-        BASE,
-        CENTROIDS,
-        CELLS,
-        TOTALS,
-        select=_method(
-            "H3 (res=9, ~0.1 km²)", "hex_cells", "hex_centroids", "h3_cell_9", "0.000"
-        )
-        + " UNION ALL "
-        + _method("Grid (0.01°, ~1.1 km²)", "grid_cells", "grid_centroids", "grid_cell_id", "0.228"),
-    ),
+    "mart_spatial_comparison": _with(BASE, PLACED, select=COMPARISON),
     "agg_filtered_pct": _with(
         BASE,
         select="""
-        SELECT h3_cell_9, count(*) AS deliveries,
-               count(*) FILTER (WHERE delivery_status = 'failed') AS failed,
-               r(100.0 * count(*) FILTER (WHERE delivery_status = 'failed') / count(*), 1)
-                   AS failure_rate_pct
-        FROM deliveries WHERE h3_cell_9 IS NOT NULL GROUP BY h3_cell_9
+        SELECT h3_cell_9, count(*) AS deliveries, sum(failed)::bigint AS failed,
+               r(avg(failed) * 100, 1) AS failure_rate_pct
+        FROM metrics GROUP BY h3_cell_9 HAVING h3_cell_9 IS NOT NULL
         """,
     ),
     "agg_distinct_drivers": _with(
         BASE,
         select="""
-        SELECT grid_cell_id, count(DISTINCT driver_id) AS n_driver_id
-        FROM deliveries WHERE grid_cell_id IS NOT NULL GROUP BY grid_cell_id
+        SELECT grid_cell_id, count(*) AS n_driver_id
+        FROM (SELECT DISTINCT grid_cell_id, driver_id FROM deliveries)
+        WHERE grid_cell_id IS NOT NULL GROUP BY grid_cell_id
         """,
     ),
     "agg_mode_zone": _with(
         BASE,
+        ZONED,
+        _mode("mode_traffic_zone", "traffic_zone"),
         select="""
-        SELECT h3_cell_9, mode() WITHIN GROUP (ORDER BY traffic_zone) AS mode_traffic_zone
-        FROM deliveries WHERE h3_cell_9 IS NOT NULL GROUP BY h3_cell_9
+        SELECT cell AS h3_cell_9, mode_traffic_zone FROM mode_traffic_zone WHERE method = 'H3'
         """,
     ),
     "cell_stats": _with(
-        BASE, CELLS, select=_stats("H3", "hex_cells") + " UNION ALL " + _stats("Grid", "grid_cells")
+        BASE,
+        PLACED,
+        select="""
+        SELECT method, cell, n AS deliveries, r(zone_delay, 4) AS avg_delay,
+               r(zone_spread, 4) AS stddev_delay, r(gap, 2) AS cell_margin_gap,
+               late_rows AS delayed_count, hot AS is_hotspot
+        FROM (SELECT *, sum(margin_gap_usd) OVER (PARTITION BY method, cell) AS gap,
+                     (sum(late) OVER (PARTITION BY method, cell))::bigint AS late_rows
+              FROM placed)
+        WHERE is_first
+        """,
     ),
     "fleet_totals": _with(
         BASE,
-        TOTALS,
         select="""
-        SELECT total_deliveries, total_delayed, r(total_margin_gap, 2) AS total_margin_gap
-        FROM totals
+        SELECT count(*) AS total_deliveries, sum(late)::bigint AS total_delayed,
+               r(sum(margin_gap_usd), 2) AS total_margin_gap
+        FROM metrics
         """,
     ),
     "idx_grid": _with(
@@ -566,28 +554,25 @@ ORACLE: dict[str, str] = {
     ),
     "hex_centroids": _with(
         BASE,
-        CENTROIDS,
+        PLACED,
         select="""
-        SELECT h3_cell_9, r(centroid_lat, 6) AS centroid_lat, r(centroid_lon, 6) AS centroid_lon
-        FROM hex_centroids
+        SELECT cell AS h3_cell_9, r(zone_lat, 6) AS centroid_lat, r(zone_lon, 6) AS centroid_lon
+        FROM placed WHERE is_first AND method = 'H3'
         """,
     ),
     "grid_centroids": _with(
         BASE,
-        CENTROIDS,
+        PLACED,
         select="""
-        SELECT grid_cell_id, r(centroid_lat, 6) AS centroid_lat,
-               r(centroid_lon, 6) AS centroid_lon
-        FROM grid_centroids
+        SELECT cell AS grid_cell_id, r(zone_lat, 6) AS centroid_lat, r(zone_lon, 6) AS centroid_lon
+        FROM placed WHERE is_first AND method = 'Grid'
         """,
     ),
     "mdqe_hex": _with(
-        BASE, CENTROIDS, select=f"SELECT {_mean_distance('hex_centroids', 'h3_cell_9')} AS mdqe_km"
+        BASE, PLACED, select="SELECT r(avg(km), 4) AS mdqe_km FROM placed WHERE method = 'H3'"
     ),
     "mdqe_grid": _with(
-        BASE,
-        CENTROIDS,
-        select=f"SELECT {_mean_distance('grid_centroids', 'grid_cell_id')} AS mdqe_km",
+        BASE, PLACED, select="SELECT r(avg(km), 4) AS mdqe_km FROM placed WHERE method = 'Grid'"
     ),
     "sdc_measured": _with(
         BASE,
@@ -618,7 +603,7 @@ ORACLE: dict[str, str] = {
         select=f"""
         SELECT method, count(*) AS neighbour_pairs, r(avg(km), 4) AS mean_distance_km,
                r(stddev_pop(km), 4) AS sdc_km
-        FROM (SELECT method, {_haversine('lat1', 'lon1', 'lat2', 'lon2')} AS km FROM pairs)
+        FROM (SELECT method, {_chord_km('lat1', 'lon1', 'lat2', 'lon2')} AS km FROM pairs)
         GROUP BY method
         """,
     ),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zonewright.functions import geo, labels
 from zonewright.functions.numeric import pct, ratio, round_half_away
 from zonewright.functions.temporal import minutes_crossed, naive
-from zonewright.functions.udf import register_cell_function, register_sql_functions
+from zonewright.functions.udf import register_cell_function
 
 
 def evaluate(spark, schema, rows, *columns):
@@ -137,18 +137,10 @@ def test_hexagon_centre_is_inside_its_hexagon(spark):
 
 
 def test_haversine(spark):
-    register_sql_functions(spark)
-    columns = [F.col(c) for c in "abcd"]
-    rows = [(10.0, 106.0, 11.0, 106.0), (10.0, 106.0, 10.0, 106.0)]
-    got = evaluate(
-        spark,
-        "a double, b double, c double, d double",
-        rows,
-        geo.haversine_km(*columns),
-        F.expr("haversine_km(a, b, c, d)"),
-    )
-    assert got[0] == pytest.approx((111.1949,) * 2, abs=1e-4)
-    assert got[1] == (0.0, 0.0)
+    rows = [(10.0, 106.0, 11.0, 106.0), (10.0, 106.0, 10.0, 106.0), (0.0, 0.0, 0.0, 180.0)]
+    distance = geo.haversine_km(*[F.col(c) for c in "abcd"])
+    got = evaluate(spark, "a double, b double, c double, d double", rows, distance)
+    assert [d for (d,) in got] == pytest.approx([111.1949, 0.0, 6371 * math.pi], abs=1e-4)
 
 
 def test_foreign_cell_function(spark):

@@ -1,4 +1,4 @@
-"""SQL-callable functions, and the escape hatch for foreign zone indexes."""
+"""The escape hatch for zone indexes that come as a Python library."""
 
 from __future__ import annotations
 
@@ -9,19 +9,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """``haversine_km`` for SQL text; the planner inlines its body."""
-    spark.sql(
-        """
-        CREATE OR REPLACE TEMPORARY FUNCTION haversine_km(
-            lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) RETURNS DOUBLE
-        RETURN 2 * 6371 * asin(sqrt(
-            pow(sin(radians((lat2 - lat1) / 2)), 2)
-            + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians((lon2 - lon1) / 2)), 2)))
-        """
-    )
-
-
 def register_cell_function(
     spark: SparkSession, name: str, cell_of: Callable[[float, float, int], str]
 ):

@@ -48,8 +48,10 @@ def hex_lattice(box: DataFrame) -> DataFrame:
     """Every hexagon whose centre lies in the box: (h3_cell_9, q, r, centre).
 
     Lattice rows are spread over the cluster before each expands to its cells,
-    so a large box is not one task's work.
+    so a large box is not one task's work. The number of tasks is given, as the
+    rows are too few for AQE to see a reason for more than one.
     """
+    tasks = box.sparkSession.sparkContext.defaultParallelism
     south, west, north, east = (F.col(c) for c in ("south", "west", "north", "east"))
     q, r = F.col("q"), F.col("r")
 
@@ -62,7 +64,7 @@ def hex_lattice(box: DataFrame) -> DataFrame:
 
     rows = box.withColumn(
         "r", F.explode(F.sequence(F.floor(row_of(south)) - 1, F.ceil(row_of(north)) + 1))
-    ).repartition("r")
+    ).repartition(tasks, "r")
     cells = rows.withColumn(
         "q", F.explode(F.sequence(F.floor(column_of(west)) - 1, F.ceil(column_of(east)) + 1))
     )
