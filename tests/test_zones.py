@@ -240,7 +240,8 @@ def test_measured_neighbour_spread(spark):
 def test_running_totals_in_ranges_equal_plain_windows(spark):
     rng = random.Random(4)
     keys = rng.sample(range(100_000), 5000)
-    rows = [("hot" if rng.random() < 0.4 else f"g{rng.randrange(20)}", k, rng.randrange(9))
+    groups = [f"g{i}" for i in range(20)] + ["", None]
+    rows = [("hot" if rng.random() < 0.4 else rng.choice(groups), k - 20_000, rng.randrange(9))
             for k in keys]
     df = spark.createDataFrame(rows, "g string, k bigint, v bigint")
     got = running_totals(

@@ -30,33 +30,38 @@ def running_totals(
     totals of a group are accumulated, and the rows are then windowed within
     their own range and shifted by what came before it. Rows are shuffled once,
     on (group, range). ``order`` must be unique, so a range holds at most
-    ``width`` rows.
+    ``width`` rows. Rows without a group form one of their own.
     """
     sums, group_max = dict(sums or {}), dict(group_max or {})
-    ranged = df.withColumn("_range", F.floor(F.col(order) / F.lit(width)))
+    # NULL would not join: mark what is there, and let a NULL key come first
+    marked = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    first = F.lit(-(2**63))
+    ranged = df.withColumn("_group", marked).withColumn(
+        "_range", F.coalesce(F.floor(F.col(order) / F.lit(width)), first)
+    )
 
-    totals = ranged.groupBy(group, "_range").agg(
+    totals = ranged.groupBy("_group", "_range").agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(source).alias(f"_sum_{name}") for name, source in sums.items()],
         *[F.max(source).alias(f"_max_{name}") for name, source in group_max.items()],
     )
-    whole_group = Window.partitionBy(group)
+    whole_group = Window.partitionBy("_group")
     earlier = whole_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
     def before(column: str):
         return F.coalesce(F.sum(column).over(earlier), F.lit(0))
 
     offsets = totals.select(
-        group,
+        "_group",
         "_range",
         before("_n").alias("_n"),
         *[before(f"_sum_{name}").alias(f"_sum_{name}") for name in sums],
         *[F.max(f"_max_{name}").over(whole_group).alias(f"_max_{name}") for name in group_max],
     )
 
-    within = Window.partitionBy(group, "_range").orderBy(order)
+    within = Window.partitionBy("_group", "_range").orderBy(order)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(offsets, [group, "_range"]).select(
+    return ranged.join(offsets, ["_group", "_range"]).select(
         *df.columns,
         (F.col("_n") + F.row_number().over(within)).alias(rank),
         *[

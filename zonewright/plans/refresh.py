@@ -15,22 +15,20 @@ from zonewright.sources.schemas import missing_tables
 RAW_NAMES = ("raw_customers", "raw_products", "raw_sellers", "raw_orders", "raw_deliveries")
 
 
-def load(
-    spark: SparkSession, raw: Mapping[str, DataFrame], database: str, buckets: int | None = None
-) -> DataFrame:
+def load(spark: SparkSession, raw: Mapping[str, DataFrame], database: str) -> DataFrame:
     """Replace the raw tables and return their row counts.
 
     ``raw_deliveries`` may come without zone ids; they are added on the way in,
-    so no later query pays for them. With ``buckets`` both facts are stored
-    bucketed by order, and the metrics join needs no shuffle.
+    so no later query pays for them. Tables are written as they come, without a
+    shuffle: bucketing the facts by order would pay off for repeated joins only,
+    and would store all deliveries of one order, or of none, in one bucket.
     """
     ensure_database(spark, database)
     for name in RAW_NAMES:
         df = raw[name]
         if name == "raw_deliveries":
             df = with_cells(df)
-        bucket_by = ("order_id", buckets) if buckets and name in RAW_NAMES[3:] else None
-        replace_table(df, f"{database}.{name}", bucket_by)
+        replace_table(df, f"{database}.{name}")
 
     points = spark.table(f"{database}.raw_deliveries").select(
         F.col("spatial_data.destination_lat").alias("lat"),

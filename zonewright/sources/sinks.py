@@ -13,20 +13,9 @@ def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
-def replace_table(
-    df: DataFrame, table: str, bucket_by: tuple[str, int] | None = None
-) -> DataFrame:
-    """Replace ``table`` with ``df`` and return the table.
-
-    ``bucket_by=(column, n)`` stores both sides of a repeated equi-join
-    co-partitioned, so the join reads them without a shuffle. Rows are hashed to
-    their bucket first: one file per bucket instead of one per task and bucket.
-    """
-    writer = df.write
-    if bucket_by:
-        column, buckets = bucket_by
-        writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
-    writer.format("parquet").mode("overwrite").saveAsTable(table)
+def replace_table(df: DataFrame, table: str) -> DataFrame:
+    """Replace ``table`` with ``df`` and return the table."""
+    df.write.format("parquet").mode("overwrite").saveAsTable(table)
     return df.sparkSession.table(table)
 
 
