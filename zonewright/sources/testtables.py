@@ -43,7 +43,7 @@ ROUTE_ID = (
 
 # Items of one order that lie this far apart in the file go to separate
 # documents, which bounds a document's array however many items an order has.
-ITEM_BLOCK_ROWS = 65_536
+ITEM_BLOCK_ROWS = 1 << 18
 
 
 class TestTables:
