@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.llm import bpe, token_counts
+from zonewright.llm import bpe, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,26 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every whole text, and whether they are over the limit."""
     counts = token_counts.count_tokens(table(spark, folder, "documents"), PIECE_BPE, ["doc_id"])
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def held_out() -> Column:
+    """The part of the rows that no label is learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def toxic_lexicon(spark: SparkSession, folder: str) -> toxicity.Lexicon:
+    labels = table(spark, folder, "labels").where(~held_out())
+    return toxicity.learn(table(spark, folder, "documents"), labels)
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every whole text, by a lexicon learned from the rows that aren't held out."""
+    lexicon = toxic_lexicon(spark, folder)
+    scores = toxicity.score_texts(table(spark, folder, "documents"), lexicon, ["doc_id"])
+    return scores.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
