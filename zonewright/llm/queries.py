@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.llm import bpe, token_counts, toxicity
+from zonewright.llm import bpe, license_scan, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,3 +66,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices in every whole text."""
+    return license_scan.scan_texts(table(spark, folder, "documents"), ["doc_id"])
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain counts and compression bands of every whole text."""
+    return quality.judge_texts(table(spark, folder, "documents"), ["doc_id"])
