@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.llm import bpe, license_scan, quality, token_counts, toxicity
+from zonewright.llm import bpe, exact_topk, license_scan, quality, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,28 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
+#: Shards, and the seed of their order.
+N_SHARDS, SHARD_SEED = 8, 20
+
+#: Results of a search.
+TOP_K = 10
+
+
+@query
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents in a random order, dealt to shards whose counts differ by one at most."""
+    shuffled = sharding.shuffle(table(spark, folder, "documents"), N_SHARDS, SHARD_SEED)
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    return shuffled.select(
+        "record.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
 
 @query
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,3 +100,27 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Plain counts and compression bands of every whole text."""
     return quality.judge_texts(table(spark, folder, "documents"), ["doc_id"])
+
+
+@query
+def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten rows with the highest scores for every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return exact_topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), TOP_K)
+
+
+ORACLE["op8_exact_topk"] = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.ints::DOUBLE[], c.ints::DOUBLE[]) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
