@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.llm import bpe, exact_topk, license_scan, quality, sharding, token_counts, toxicity
+from zonewright.llm import bpe, exact_topk, license_scan, mixing, quality, sharding, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,18 @@ N_SHARDS, SHARD_SEED = 8, 20
 #: Results of a search.
 TOP_K = 10
 
+#: Shares of tokens that the mix is to have, and the seed of its rounding.
+LANGUAGE_WEIGHTS, MIX_SEED = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}, 6
+
+# The rules for URLs.
+URL_RULES = (
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+)
+
 
 @query
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,3 +136,24 @@ WITH vectors AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+
+def labelled_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the table of labels holds, with their language as the domain."""
+    documents = table(spark, folder, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return documents.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate and copies of every document for target shares of four languages, which the text alone tells."""
+    documents = table(spark, folder, "documents")
+    mixed = mixing.mix(documents, labelled_languages(spark, folder), LANGUAGE_WEIGHTS, ["doc_id"], seed=MIX_SEED)
+    return mixed.select("record.doc_id", "domain", "n_tokens", "posterior", "rate", "copies")
+
+
+@query
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, folder, "pages"), model, URL_RULES, "page_id")
