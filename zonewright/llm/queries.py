@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewright.llm import bpe, exact_topk, license_scan, mixing, quality, sharding, token_counts, toxicity, url_filter
+from zonewright.llm import bpe, exact_topk, license_scan, mixing, near_dedup, quality, sharding, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -157,3 +157,9 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Rule and verdict of every page's URL."""
     model = url_filter.train(url_filter.labelled_urls(spark))
     return url_filter.judge(table(spark, folder, "pages"), model, URL_RULES, "page_id")
+
+
+@query
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that share 85 percent of their shingles, directly or through others."""
+    return near_dedup.groups(table(spark, folder, "documents"))
