@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from zonewright.llm.common import map_texts
+from zonewright.session import materialize
 
 #: Labelled rows that the lexicon is learned from, about, where there are more; chosen by a hash of their key.
 TRAINING_ROWS = 30_000
@@ -175,7 +176,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     marked = marked.select(F.col(key).alias("__key"), "__toxic")
     some = F.pmod(F.xxhash64("__key"), F.lit(max(marked.count(), 1))) < TRAINING_ROWS
     rows = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).where("__text IS NOT NULL")
-    rows = rows.join(marked.where(some), "__key")
+    # about TRAINING_ROWS keys are small enough to broadcast, and their texts are read and stored once
+    rows = materialize(rows.join(F.broadcast(marked.where(some)), "__key").select("__text", "__toxic"), "labelled")
     sizes = {r["__toxic"]: r["n"] for r in rows.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not other:
