@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -14,6 +15,11 @@ def fields(df: DataFrame, *names: str) -> list[T.StructField]:
     return [df.schema[name] for name in names]
 
 
+def whole_rows(df: DataFrame, text: str = "text") -> DataFrame:
+    """``record``, a struct of all columns, beside a copy of the text: what is added can't clash with a column."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("record"), F.col(f"`{text}`").alias("text"))
+
+
 def map_texts(
     df: DataFrame,
     keep: list[str],

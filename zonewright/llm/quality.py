@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from zonewright.llm.common import map_texts
+from zonewright.llm.common import map_texts, whole_rows
 
 
 @dataclass(frozen=True)
@@ -116,3 +116,8 @@ def judge_texts(docs: DataFrame, keep: list[str], text: str = "text", bands: Ban
         return [judge(t or b"") for t in texts]
 
     return map_texts(docs, keep, text, COLUMNS, rows)
+
+
+def judge_rows(docs: DataFrame, text: str = "text", bands: Bands = Bands()) -> DataFrame:
+    """``record``, a struct of all columns, and ``COLUMNS``."""
+    return judge_texts(whole_rows(docs, text), ["record"], bands=bands)

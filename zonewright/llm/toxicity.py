@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from zonewright.llm.common import map_texts
+from zonewright.llm.common import map_texts, whole_rows
 from zonewright.session import materialize
 
 #: Labelled rows that the lexicon is learned from, about, where there are more; chosen by a hash of their key.
@@ -241,3 +241,8 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str =
     """
     new = [T.StructField(column, T.DoubleType())]
     return map_texts(docs, keep, text, new, lambda texts: [(score(t.decode(), lexicon) if t else 0.0,) for t in texts])
+
+
+def score_rows(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """``record``, a struct of all columns, and ``score``."""
+    return score_texts(whole_rows(docs, text), lexicon, ["record"])
