@@ -1,0 +1,68 @@
+"""Shards: counts, gapless slots, randomness, written files."""
+
+from collections import Counter
+
+from tests.conftest import SMALL
+from zonewright.llm import queries, sharding
+from zonewright.session import scratch_path
+
+
+def placed(df, **options):
+    return sharding.shuffle(df, 8, **options).collect()
+
+
+def check(rows, n):
+    counts = Counter(r.shard for r in rows)
+    assert sum(counts.values()) == n and max(counts.values()) - min(counts.get(s, 0) for s in range(8)) <= 1
+    for shard, m in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(m))
+
+
+def test_rows_of_one_key_spread(spark, docs):
+    # a third of all rows are the same row
+    rows = placed(docs([(i if i % 3 else 0, "x" if i % 3 else "copy") for i in range(3000)]))
+    check(rows, 3000)
+    copies = Counter(r.shard for r in rows if r.record.text == "copy")
+    assert len(copies) == 8 and max(copies.values()) < 200
+
+
+def test_small_buckets_give_the_same_law(docs):
+    check(placed(docs([(i, "word " * (i % 50)) for i in range(500)]), bucket_bytes=1000), 500)
+
+
+def test_seeded(docs):
+    df = docs([(i, str(i)) for i in range(200)])
+    order = lambda rows: [r.record.doc_id for r in sorted(rows, key=lambda r: (r.slot, r.shard))]
+    first, again, other = order(placed(df, seed=1)), order(placed(df, seed=1)), order(placed(df, seed=2))
+    assert first == again != other
+    assert first != sorted(first)
+
+
+def test_nulls_long_texts_and_clashing_columns(docs):
+    rows = placed(docs([(None, None), (1, ""), (2, "x" * 1_000_000), (1, "")]))
+    check(rows, 4)
+    assert sorted(len(r.record.text or "") for r in rows) == [0, 0, 0, 1_000_000]
+    assert {r.record.shard for r in rows} == {"s"}
+
+
+def test_an_empty_table(docs):
+    assert placed(docs([])) == []
+
+
+def test_written_shards_hold_their_slots_in_order(spark, docs):
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(sharding.shuffle(docs([(i, str(i)) for i in range(100)]), 8), path)
+    back = spark.read.parquet(path).collect()
+    check(back, 100)
+    assert sorted(r.record.doc_id for r in back) == list(range(100))
+
+
+def test_query(spark):
+    from zlib import crc32
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = queries.op1_sharding(spark, SMALL).collect()
+    check(rows, len(texts))
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, crc32(data), "rows", None)

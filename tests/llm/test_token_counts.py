@@ -1,0 +1,47 @@
+"""Counts in one go, and spliced ones, against the sentencepiece library."""
+
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.conftest import SMALL
+from zonewright.llm import queries, token_counts
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+TINY = token_counts.PieceCounter(PATH, chunk=40, overlap=4)
+
+PIECES = ["a", "A", " ", "  ", "\n", "the", "ing", "<s>", "é", "漢", "😀", "1", "!", "▁", "aaaa", "\t", "        ", " the", " of"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=150).map("".join) | st.text(max_size=200))
+def test_splices_are_exact(text):
+    whole = TINY.model.encode(text)
+    assert TINY.count(text) == len(whole)
+    if len(text) > TINY.chunk:
+        assert TINY.ids(text).tolist() == whole
+
+
+def test_the_model_allows_splices():
+    assert TINY.splices
+
+
+def test_texts_without_a_stable_boundary_fall_back():
+    for text in ("a" * 3000, " " * 3000, "ab" * 2000, "漢" * 1500):
+        assert TINY.count(text) == len(TINY.model.encode(text))
+
+
+def test_null_empty_repeated_and_clashing(docs):
+    rows = [(1, None), (2, ""), (3, "é x"), (3, "é x"), (None, "x")]
+    counts = token_counts.count_tokens(docs(rows).withColumnRenamed("kept", "n_tokens"), PATH, ["doc_id"])
+    found = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in counts.collect())
+    n = len(TINY.model.encode("é x"))
+    assert found == [(0, 1, 1), (1, 0, 0), (2, 0, 0), (3, 4, n), (3, 4, n)]
+    assert token_counts.count_tokens(docs([]), PATH, ["doc_id"]).count() == 0
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in queries.op3_token_counts(spark, SMALL).collect():
+        n = len(TINY.model.encode(texts[r.doc_id]))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 4096)
