@@ -6,13 +6,14 @@ Rates r >= 0, how often a document is used, are fitted by least squares:
     sum over domains of (expected tokens - target)^2 / (2 total^2)
         + PULL * sum over documents of tokens / total * (r - 1)^2 / 2
 
-by projected gradient descent, scaled by the tokens of each document and domain.
+by projected gradient descent with momentum, scaled by the tokens of each document and domain.
 The unprojected rate of a document is 1 + posterior . c throughout, so a step needs
 one aggregation of a number per domain, and the driver holds only c.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.ml.classification import LogisticRegression
@@ -85,14 +86,19 @@ def fit(soft: DataFrame, targets: list[float]) -> list[float]:
     def shares(c: list[float]) -> list[float]:
         return [x / total for x in soft.agg(*(F.sum(m * _rate(c)) for m in mass)).first()]
 
-    c = [0.0] * n
+    c, ahead, speed = [0.0] * n, [0.0] * n, 1.0
     own = have = shares(c)
     for _ in range(STEPS):
-        step = [(h - t + PULL * x) / (o + PULL) for h, t, x, o in zip(have, targets, c, own, strict=True)]
-        c = [x - s for x, s in zip(c, step, strict=True)]
+        step = [(h - t + PULL * x) / (o + PULL) for h, t, x, o in zip(have, targets, ahead, own, strict=True)]
+        new = [x - s for x, s in zip(ahead, step, strict=True)]
+        if sum(o * s * (x - y) for o, s, x, y in zip(own, step, new, c, strict=True)) > 0:
+            speed = 1.0  # the momentum has gone too far
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        ahead = [x + (speed - 1) / faster * (x - y) for x, y in zip(new, c, strict=True)]
+        c, speed = new, faster
         if max(map(abs, step)) < SMALL:
             break
-        have = shares(c)
+        have = shares(ahead)
     return c
 
 
