@@ -185,7 +185,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id reachable, for every id in ``links`` (a, b).
+    """(id, root): the smallest id reachable, for every id in ``links`` (a, b) that isn't it itself.
 
     Alternates two steps: neighbours above a node are tied to its smallest neighbour, then
     those below it. Both keep the components; stars are what doesn't change. The smallest neighbour is a

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 #: Lengths of the n-grams, and cells that they are hashed to.
 SIZES, CELLS = (3, 4, 5), 1 << 14
 
-#: Probability from which a URL is blocked.
-BLOCK_FROM = 0.5
+#: Probability from which a URL is blocked. Hosts with none of the trained words come out below 0.2.
+BLOCK_FROM = 0.3
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
