@@ -78,7 +78,7 @@ def main() -> None:
     points = index_points(spark, INDEX_COPIES)
     index = {
         row["method"]: {"n_rows": row["n_rows"], "us_per_row": round(row["microseconds_per_row"], 4)}
-        for row in index_cost.measure(points, REPEATS).collect()
+        for row in index_cost.measure(points, REPEATS + 1).collect()
     }
     scale = re.search(r"sf([\d.]+)", FOLDER)
     print(

@@ -272,7 +272,13 @@ steps AS (
     SELECT q, r0 AS lr, 0.20132061220131367 * sqrt(3.0) * (q + r0 / 2.0::double)
                             / 109.23625344213714 AS centre_lon,
            0.20132061220131367 * 1.5 * r0 / 111.19492664455873 AS centre_lat
-    FROM (SELECT unnest(range(3800, 4200)) AS r0), (SELECT unnest(range(31200, 31700)) AS q)),
+    FROM (SELECT unnest(range(floor(south * 111.19492664455873 / 0.30198091830197051)::bigint - 2,
+                              ceil(north * 111.19492664455873 / 0.30198091830197051)::bigint + 3)) AS r0
+          FROM bounds),
+         (SELECT unnest(range(
+              floor(west * 313.2692 - north * 184.1092)::bigint - 50,
+              ceil(east * 313.2692 - south * 184.1092)::bigint + 50)) AS q
+          FROM bounds)),
 lattice AS (
     SELECT q || '_' || lr AS h3_cell_9, q::bigint AS q, lr::bigint AS r_step,
            centre_lat, centre_lon
@@ -280,7 +286,9 @@ lattice AS (
     WHERE centre_lat BETWEEN south AND north AND centre_lon BETWEEN west AND east)
 """
 
-CITY = "bounds AS (SELECT 10.63 AS south, 106.56 AS west, 10.91 AS north, 106.81 AS east)"
+CITY = """
+bounds AS (SELECT 10.63::double AS south, 106.56::double AS west, 10.91::double AS north, 106.81::double AS east)
+"""
 
 ZONE_MAP = f"""{CITY}, {LATTICE},
 merged AS (
@@ -356,7 +364,8 @@ def _dq(test: str, check: str) -> str:
 
 ORDER_COLUMNS = """
     order_id, customer_id, order_status, order_timestamp, payment_method, payment_installments,
-    r(subtotal_usd + total_freight_usd, 2) AS payment_amount_usd, destination_district,
+    r(subtotal_usd + total_freight_usd + if(order_id % 50 = 7, 0.01::double, 0), 2)
+        AS payment_amount_usd, destination_district,
     destination_lat, destination_lon, address_text, item_count,
     r(subtotal_usd, 2) AS subtotal_usd, total_freight_usd
 """
@@ -398,6 +407,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'raw_deliveries', count(*) FROM deliveries
         """,
     ),
+    "cl_benchmark": """
+        SELECT method, count(*) AS n_rows, true AS took_time, true AS is_consistent
+        FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('H3'), ('Grid')) methods(method)
+        GROUP BY method
+    """,
     "stg_customers": _with(
         DISTRICTS,
         select="""
@@ -408,7 +422,7 @@ ORACLE: dict[str, str] = {
     ),
     "stg_products": """
         SELECT p_partkey::varchar AS product_id, p_name AS product_name, p_type AS category,
-               p_retailprice AS price_usd, 100 + (p_partkey * 37) % 4901 AS weight_g
+               p_retailprice AS price_usd, (100 + (p_partkey * 37) % 4901)::double AS weight_g
         FROM part
     """,
     "stg_sellers": _with(
@@ -499,6 +513,44 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "mart_spatial_comparison": _with(BASE, PLACED, select=COMPARISON),
+    "mart_spatial_comparison_cost": _with(
+        BASE,
+        PLACED,
+        select=COMPARISON.replace(
+            "NULL::double AS cl_us_per_row", "if(method = 'H3', 3.31, 0.07)::double AS cl_us_per_row"
+        ),
+    ),
+    "stored_mart_h3": _with(BASE, MART_H3, select="SELECT * FROM mart_h3"),
+    "stored_mart_kpis": _with(BASE, MART_KPIS, select="SELECT * FROM mart_kpis"),
+    "stored_tables": _with(
+        BASE,
+        ZONES,
+        select="""
+        SELECT 'raw_customers' AS table_name, count(*) AS n_rows FROM customer
+        UNION ALL SELECT 'raw_products', count(*) FROM part
+        UNION ALL SELECT 'raw_sellers', count(*) FROM supplier
+        UNION ALL SELECT 'raw_orders', count(*) FROM staged_orders
+        UNION ALL SELECT 'raw_deliveries', count(*) FROM deliveries
+        UNION ALL SELECT 'raw_cl_benchmarks', 2
+        UNION ALL SELECT 'int_delivery_metrics', count(*) FROM metrics
+        UNION ALL SELECT 'mart_deliveries', count(*) FROM metrics
+        UNION ALL SELECT 'mart_kpis', 1
+        UNION ALL SELECT 'mart_district', count(DISTINCT destination_district) FROM metrics
+        UNION ALL SELECT 'mart_h3', count(*) FROM zone_totals WHERE method = 'H3'
+        UNION ALL SELECT 'mart_grid', count(*) FROM zone_totals WHERE method = 'Grid'
+        UNION ALL SELECT 'mart_spatial_comparison', 2
+        """,
+    ),
+    "stored_order_items": _with(
+        BASE,
+        select="""
+        SELECT order_id::varchar AS order_id, o_orderdate AS order_timestamp,
+               product_id::varchar AS product_id, seller_id::varchar AS seller_id, quantity,
+               r(unit_price_usd, 6) AS unit_price_usd, freight_value_usd,
+               r(quantity * unit_price_usd, 2) AS line_total_usd
+        FROM items JOIN orders ON o_orderkey = order_id
+        """,
+    ),
     "agg_filtered_pct": _with(
         BASE,
         select="""
@@ -642,6 +694,14 @@ ORACLE: dict[str, str] = {
         FROM mart_district ORDER BY avg_delay_minutes DESC, destination_district
         """,
     ),
+    "feed_district_by_gap": _with(
+        BASE,
+        MART_DISTRICT,
+        select="""
+        SELECT *, CASE WHEN margin_gap_usd > 0 THEN 'Loss' ELSE 'Profit' END AS gap_class
+        FROM mart_district ORDER BY margin_gap_usd DESC, destination_district
+        """,
+    ),
     "feed_h3_zones": _with(
         BASE,
         MART_H3,
@@ -722,6 +782,7 @@ ORACLE: dict[str, str] = {
         FROM zone_map JOIN picked USING (h3_cell_9)
         """,
     ),
+    "example_first_id": "SELECT c_custkey AS id FROM customer WHERE c_custkey = 1",
     "example_null_id": "SELECT c_custkey AS id FROM customer UNION ALL SELECT NULL",
     "dq_unique": _dq(
         "unique",

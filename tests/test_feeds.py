@@ -68,6 +68,15 @@ def test_map_blanks_cells_without_data(city_map):
     assert (blank["fill_r"], blank["fill_a"]) == (180, 18)
 
 
+def test_zones_with_ids_of_another_scheme_stay_on_the_map(spark):
+    lattice = spatial.hex_lattice(spatial.city_box(spark))
+    rows = feeds.zone_map(lattice, feeds.h3_zones(mart(spark, [zone("8965b564347ffff", 50.0, gap=5.0), zone("0_0", 50.0)])))
+    assert rows.count() == 8086
+    [row] = rows.filter("has_data").collect()
+    assert row["h3_cell_9"] == "8965b564347ffff" and row["center_lat"] is row["maps_coords"] is None
+    assert feeds.zone_kpis(rows).first()["n_hotspots"] == 1
+
+
 def test_map_labels_zones_with_data(city_map):
     inside, rows = city_map
     row = rows.filter(F.col("h3_cell_9") == inside).first()

@@ -21,20 +21,15 @@ def test_matches_sql(spark, duck, key):
     assert mismatch(expected, spark_rows(spark, SMALL, key)) is None
 
 
-def test_only_the_timing_query_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"cl_benchmark"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
 
 
-def test_timing_query(spark):
-    rows = {r["method"]: r for r in QUERIES["cl_benchmark"](spark, SMALL).collect()}
-    assert set(rows) == {"H3", "Grid"}
-    for row in rows.values():
-        assert row["n_rows"] == 1500
-        assert row["microseconds_per_row"] == pytest.approx(row["total_seconds"] / 1500 * 1e6)
+def test_payments_that_do_not_reconcile_are_found(spark):
+    assert QUERIES["dq_payment_reconciles"](spark, SMALL).first()["failures"] > 0
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 2
-    assert set(contract.queries()) == set(QUERIES)
-    assert contract.oracle_sql() == ORACLE
+    assert set(contract.queries()) >= set(QUERIES)
+    assert contract.oracle_sql().items() >= ORACLE.items()

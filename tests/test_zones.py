@@ -241,17 +241,34 @@ def test_running_totals_in_ranges_equal_plain_windows(spark):
     rng = random.Random(4)
     keys = rng.sample(range(100_000), 5000)
     groups = [f"g{i}" for i in range(20)] + ["", None]
-    rows = [("hot" if rng.random() < 0.4 else rng.choice(groups), k - 20_000, rng.randrange(9))
+    values = [None, None, None, *range(9)]
+    rows = [("hot" if rng.random() < 0.4 else rng.choice(groups), k - 20_000, rng.choice(values))
             for k in keys]
     df = spark.createDataFrame(rows, "g string, k bigint, v bigint")
-    got = running_totals(
-        df, "g", "k", "n", sums={"so_far": "v"}, group_max={"top": "k"}, width=500
-    ).collect()
     want = set()
     for group in {g for g, _, _ in rows}:
         members = sorted((k, v) for g, k, v in rows if g == group)
-        total = 0
+        total = None
         for n, (k, v) in enumerate(members, 1):
-            total += v
+            total = total if v is None else (total or 0) + v
             want.add((group, k, v, n, total, members[-1][0]))
-    assert {tuple(r) for r in got} == want and len(got) == len(rows)
+    for parts in (1, 4, 500):
+        got = running_totals(
+            df, "g", "k", "n", sums={"so_far": "v"}, group_max={"top": "k"}, parts=parts
+        ).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(rows)
+
+
+def test_sparse_keys_of_a_hot_group_fill_ranges_evenly(spark):
+    df = spark.range(20_000).selectExpr("if(id % 3 > 0, 'hot', string(id)) g", "xxhash64(id) k", "1L v")
+    ranked = running_totals(df, "g", "k", "n", sums={"so_far": "v"}, parts=16)
+    assert ranked.where("n <> so_far").count() == 0
+    top = ranked.groupBy("g").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
+    assert top.where("n <> rows").count() == 0
+
+
+def test_rows_without_a_key_come_first_and_spread(spark):
+    df = spark.range(1000).selectExpr("'one' g", "if(id < 900, null, id) k", "1L v")
+    got = running_totals(df, "g", "k", "n", sums={"so_far": "v"}, parts=8).collect()
+    assert sorted(r.n for r in got) == list(range(1, 1001)) and all(r.n == r.so_far for r in got)
+    assert {r.n for r in got if r.k is None} == set(range(1, 901))

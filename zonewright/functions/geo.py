@@ -55,6 +55,10 @@ def grid_centre(coordinate: Column) -> Column:
     return F.floor(coordinate / GRID_SIZE_DEG) * GRID_SIZE_DEG + GRID_SIZE_DEG / 2
 
 
+# Ids of both schemes here: two integers.
+LATTICE_ID = r"^-?\d+_-?\d+$"
+
+
 def lattice_step(cell: Column, position: int) -> Column:
     """One of the two integers in a cell id; NULL if the id is malformed."""
     return F.split_part(cell, F.lit("_"), F.lit(position)).try_cast("int")

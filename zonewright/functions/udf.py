@@ -20,11 +20,11 @@ def register_cell_function(
 
     @F.pandas_udf("string")
     def cell(lat: pd.Series, lon: pd.Series, resolution: pd.Series) -> pd.Series:
-        rows = zip(lat, lon, resolution)
-        return pd.Series(
-            [None if pd.isna([a, b, n]).any() else cell_of(a, b, int(n)) for a, b, n in rows],
-            dtype=object,
-        )
+        out = pd.Series(None, index=lat.index, dtype=object)
+        there = lat.notna() & lon.notna() & resolution.notna()
+        rows = zip(lat[there], lon[there], resolution[there].astype(int))
+        out[there] = [cell_of(a, b, n) for a, b, n in rows]
+        return out
 
     spark.udf.register(name, cell)
     return cell

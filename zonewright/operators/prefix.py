@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of a key range handled as one window partition.
-RANGE_WIDTH = 1 << 20
+from zonewright.session import materialize
 
 
 def running_totals(
@@ -18,27 +17,35 @@ def running_totals(
     rank: str,
     sums: Mapping[str, str] | None = None,
     group_max: Mapping[str, str] | None = None,
-    width: int = RANGE_WIDTH,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Rank rows of each ``group`` by the integer key ``order``, with running sums.
+    """Rank rows of each ``group`` by the key ``order``, with running sums.
 
     ``sums`` and ``group_max`` map new column -> source column; the first gives
-    inclusive running sums, the second the maximum over the whole group.
+    inclusive running sums, the second the maximum over the whole group. A sum
+    is NULL as long as no value has come, as in a plain window.
 
-    A plain window would sort a whole group in one task. Here the key is cut
-    into ranges: each range is totalled (with map-side combine), the few range
-    totals of a group are accumulated, and the rows are then windowed within
-    their own range and shifted by what came before it. Rows are shuffled once,
-    on (group, range). ``order`` must be unique, so a range holds at most
-    ``width`` rows. Rows without a group form one of their own.
+    A plain window would sort a whole group in one task. Here the rows are cut
+    into ``parts`` ranges of (group, key) with about as many rows each, whatever
+    the keys are, and stored, which fixes the cut. Each range is totalled per
+    group (with map-side combine); the totals, at most one per group and range,
+    are accumulated; and the rows are then windowed within their own range and
+    shifted by what came before it. ``order`` should be unique. Rows without a
+    key come first in their group, in any order, and spread over ranges as
+    well. Rows without a group form one of their own.
     """
     sums, group_max = dict(sums or {}), dict(group_max or {})
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # NULL would not join: mark what is there, and let a NULL key come first
     marked = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
-    first = F.lit(-(2**63))
-    ranged = df.withColumn("_group", marked).withColumn(
-        "_range", F.coalesce(F.floor(F.col(order) / F.lit(width)), first)
+    spread = F.when(F.col(order).isNull(), F.rand(7)).otherwise(0.0)
+    cut = (
+        df.withColumns({"_group": marked, "_spread": spread})
+        .repartitionByRange(parts, "_group", F.asc_nulls_first(order), "_spread")
+        .withColumn("_range", F.spark_partition_id())
     )
+    ranged = materialize(cut, "ranges")
 
     totals = ranged.groupBy("_group", "_range").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -47,26 +54,24 @@ def running_totals(
     )
     whole_group = Window.partitionBy("_group")
     earlier = whole_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-
-    def before(column: str):
-        return F.coalesce(F.sum(column).over(earlier), F.lit(0))
-
     offsets = totals.select(
         "_group",
         "_range",
-        before("_n").alias("_n"),
-        *[before(f"_sum_{name}").alias(f"_sum_{name}") for name in sums],
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"),
+        *[F.sum(f"_sum_{name}").over(earlier).alias(f"_sum_{name}") for name in sums],
         *[F.max(f"_max_{name}").over(whole_group).alias(f"_max_{name}") for name in group_max],
     )
 
-    within = Window.partitionBy("_group", "_range").orderBy(order)
+    within = Window.partitionBy("_group", "_range").orderBy(F.asc_nulls_first(order), "_spread")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def running(name: str, source: str):
+        before, own = F.col(f"_sum_{name}"), F.sum(source).over(so_far)
+        return F.coalesce(before + own, before, own).alias(name)
+
     return ranged.join(offsets, ["_group", "_range"]).select(
         *df.columns,
         (F.col("_n") + F.row_number().over(within)).alias(rank),
-        *[
-            (F.col(f"_sum_{name}") + F.sum(source).over(so_far)).alias(name)
-            for name, source in sums.items()
-        ],
+        *[running(name, source) for name, source in sums.items()],
         *[F.col(f"_max_{name}").alias(name) for name in group_max],
     )

@@ -17,13 +17,15 @@ def with_cells(
     lat: str = "spatial_data.destination_lat",
     lon: str = "spatial_data.destination_lon",
 ) -> DataFrame:
-    """Add ``h3_cell_9`` and ``grid_cell_id``; a zone id already there is kept.
+    """Add ``h3_cell_9`` and ``grid_cell_id``; a zone id already there is kept, row by row.
 
-    Row by row and free of state, so it runs inside the scan.
+    Free of state, so it runs inside the scan. The column may be missing, or be
+    declared and hold ids for some rows only.
     """
     for name, index in (("h3_cell_9", geo.hex_cell), ("grid_cell_id", geo.grid_cell)):
-        if name not in documents.columns:
-            documents = documents.withColumn(name, index(F.col(lat), F.col(lon)))
+        computed = index(F.col(lat), F.col(lon))
+        known = [F.col(name)] if name in documents.columns else []
+        documents = documents.withColumn(name, F.coalesce(*known, computed))
     return documents
 
 

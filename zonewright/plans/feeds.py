@@ -113,10 +113,16 @@ def recommendation(hotspot_list: DataFrame) -> DataFrame:
 
 
 def zone_map(lattice: DataFrame, zones: DataFrame) -> DataFrame:
-    """Every lattice cell with its zone's figures, or blanks where it has none."""
+    """Every lattice cell with its zone's figures, or blanks where it has none.
+
+    Zones of this package's own ids are drawn inside the box only. A zone whose id came
+    with the data, from another scheme, has a row as well, without a centre.
+    """
+    foreign = ~F.col("h3_cell_9").rlike(geo.LATTICE_ID)
     has_data = F.col("total_deliveries").isNotNull()
     merged = (
-        lattice.join(zones, "h3_cell_9", "left")
+        lattice.join(zones, "h3_cell_9", "full")
+        .where(F.col("centre_lat").isNotNull() | foreign)
         .withColumn("has_data", has_data)
         .withColumns(
             {
@@ -147,7 +153,9 @@ def zone_map(lattice: DataFrame, zones: DataFrame) -> DataFrame:
         "has_data",
         "center_lat",
         "center_lng",
-        F.format_string("%.5f, %.5f", "center_lat", "center_lng").alias("maps_coords"),
+        F.when(
+            F.col("center_lat").isNotNull(), F.format_string("%.5f, %.5f", "center_lat", "center_lng")
+        ).alias("maps_coords"),
         *[value.alias(name) for name, value in colour.items()],
         labels.delay_label(delay).alias("delay_label"),
         labels.gap_label(gap).alias("gap_label"),

@@ -22,12 +22,14 @@ def seconds_to_index(points: DataFrame, method: str) -> float:
     return time.perf_counter() - started
 
 
-def measure(points: DataFrame, repeats: int = 3) -> DataFrame:
-    """The benchmark table: best of ``repeats`` runs after one warm-up."""
-    n_rows = points.count()
+def measure(points: DataFrame, repeats: int = 1, n_rows: int | None = None) -> DataFrame:
+    """The benchmark table: best of ``repeats`` runs, by default one pass per scheme.
+
+    ``n_rows`` saves the count where it is known.
+    """
+    n_rows = points.count() if n_rows is None else n_rows
     rows = []
     for method in INDEXES:
-        runs = [seconds_to_index(points, method) for _ in range(repeats + 1)]
-        best = min(runs[1:])
+        best = min(seconds_to_index(points, method) for _ in range(repeats))
         rows.append((method, n_rows, best, best / n_rows * 1e6 if n_rows else None))
     return literal_rows(points.sparkSession, rows, CL_BENCHMARKS)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonewright.operators.spatial import with_cells
 from zonewright.plans import comparison, index_cost, marts, metrics, staging
 from zonewright.sources.sinks import ensure_database, replace_table, row_counts
+from zonewright.session import scratch_run
 from zonewright.sources.schemas import missing_tables
 
 RAW_NAMES = ("raw_customers", "raw_products", "raw_sellers", "raw_orders", "raw_deliveries")
@@ -34,8 +35,11 @@ def load(spark: SparkSession, raw: Mapping[str, DataFrame], database: str) -> Da
         F.col("spatial_data.destination_lat").alias("lat"),
         F.col("spatial_data.destination_lon").alias("lon"),
     )
-    replace_table(index_cost.measure(points), f"{database}.raw_cl_benchmarks")
-    return row_counts({name: spark.table(f"{database}.{name}") for name in RAW_NAMES})
+    audit = row_counts({name: spark.table(f"{database}.{name}") for name in RAW_NAMES})
+    counted = {row["table_name"]: row["n_rows"] for row in audit.collect()}
+    cost = index_cost.measure(points, n_rows=counted["raw_deliveries"])
+    replace_table(cost, f"{database}.raw_cl_benchmarks")
+    return audit
 
 
 def staging_views(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -78,8 +82,9 @@ def build(spark: SparkSession, database: str) -> list[str]:
         "mart_district": marts.district(base),
         "mart_h3": marts.h3(base),
         "mart_grid": marts.grid(base),
-        "mart_spatial_comparison": comparison.spatial_comparison(base, benchmarks),
     }
-    for name, df in models.items():
-        replace_table(df, f"{database}.{name}")
+    with scratch_run(spark):
+        models["mart_spatial_comparison"] = comparison.spatial_comparison(base, benchmarks)
+        for name, df in models.items():
+            replace_table(df, f"{database}.{name}")
     return ["int_delivery_metrics", *models]

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions.temporal import plus_seconds
-from zonewright.operators.prefix import RANGE_WIDTH, running_totals
+from zonewright.operators.prefix import running_totals
 
 # Hours from the last order of a route to its dispatch.
 DISPATCH_HOURS = 2
 
 
-def schedule(stops: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
+def schedule(stops: DataFrame) -> DataFrame:
     """Stop number, dispatch time and ETA of each stop.
 
     ``stops`` is (route_id, stop_key, ordered_at, leg_minutes). A route is
@@ -26,7 +26,6 @@ def schedule(stops: DataFrame, width: int = RANGE_WIDTH) -> DataFrame:
         rank="stop_number",
         sums={"minutes_so_far": "leg_minutes"},
         group_max={"last_ordered_at": "ordered_at"},
-        width=width,
     )
     dispatched = plus_seconds(F.col("last_ordered_at"), F.lit(DISPATCH_HOURS * 3600))
     return ranked.select(

@@ -69,15 +69,6 @@ def orders_with_totals(headers: DataFrame) -> DataFrame:
     return headers.selectExpr(*ORDER_COLUMNS, *ITEM_TOTALS)
 
 
-def document_totals(item_documents: DataFrame) -> DataFrame:
-    """Totals per order where an order's items may fill several documents.
-
-    Each array is totalled in its row first, so only totals are shuffled.
-    """
-    parts = item_documents.select("order_id", *item_totals(F.col("line_items")))
-    return parts.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in ITEM_TOTALS])
-
-
 def flat_totals(items: DataFrame) -> DataFrame:
     """Totals per order where items are stored one row each."""
     return items.groupBy("order_id").agg(

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +42,9 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="zonewright-")
+    folder = tempfile.mkdtemp(prefix="zonewright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,9 +61,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+# The folder of the run that is going on, if one was begun.
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, within the run's own folder if there is a run."""
+    folder = _run.get() or shared_folder(spark).rstrip("/")
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for what a job stores on its way; dropped at the end, also after a failure.
+
+    For jobs that write their results: what they return lazily must not read from it.
+    """
+    folder = scratch_path(spark, "run")
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with one header row."""
+    """CSV with one header row, whose names say which column is which.
+
+    Columns may stand in any order; a declared one that is missing, or one that
+    is not declared, is an error. All files of a path share one header:
+    a file with another one fails while it is read.
+    """
+    declared = StructType.fromDDL(schema)
+    header = spark.read.option("header", True).csv(path).columns
+    if sorted(header) != sorted(declared.names):
+        raise ValueError(f"{path} has the columns {header}, declared are {declared.names}")
     return (
-        spark.read.schema(schema)
+        spark.read.schema(StructType([declared[name] for name in header]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
+        .select(declared.names)
     )
 
 

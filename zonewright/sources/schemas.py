@@ -1,7 +1,8 @@
 """Declared schemas of the raw tables, in DDL.
 
 Readers never infer: inference costs a pass over the data, and the inferred
-types differ by format (UUID-shaped ids, integer against float weights).
+types differ by format (UUID-shaped ids, integer against float weights: both
+are read as double).
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 CUSTOMERS = "customer_id string, customer_name string, phone string, segment string, district string"
-PRODUCTS = "product_id string, product_name string, category string, price_usd double, weight_g bigint"
+PRODUCTS = "product_id string, product_name string, category string, price_usd double, weight_g double"
 SELLERS = (
     "seller_id string, seller_name string, district string, "
     "warehouse_lat double, warehouse_lon double"

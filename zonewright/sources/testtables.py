@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from zonewright.functions.numeric import round_half_away
 from zonewright.operators.prefix import running_totals
 from zonewright.operators.spatial import with_cells
+from zonewright.plans.staging import item_totals
 
 # District name, centre in millionths of a degree, complex or not.
 DISTRICTS = [
@@ -41,9 +42,8 @@ ROUTE_ID = (
     + ")"
 )
 
-# Items of one order that lie this far apart in the file go to separate
-# documents, which bounds a document's array however many items an order has.
-ITEM_BLOCK_ROWS = 1 << 18
+# Every fiftieth order is paid a cent too much, so that there is something to find.
+OVERPAID = "if(k % 50 = 7, 0.01D, 0.0D)"
 
 
 class TestTables:
@@ -78,7 +78,7 @@ class TestTables:
             "p_name AS product_name",
             "p_type AS category",
             "p_retailprice AS price_usd",
-            "bigint(100 + (p_partkey * 37) % 4901) AS weight_g",
+            "double(100 + (p_partkey * 37) % 4901) AS weight_g",
         )
 
     def sellers(self) -> DataFrame:
@@ -156,7 +156,8 @@ class TestTables:
         """Telemetry documents with both zone ids."""
         return with_cells(self.delivery_telemetry(stop_numbers))
 
-    def _items(self, *extra: str) -> DataFrame:
+    def order_items(self) -> DataFrame:
+        """Line items, one row each."""
         return self["lineitem"].selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
@@ -164,39 +165,31 @@ class TestTables:
             "bigint(l_quantity) AS quantity",
             "try_divide(l_extendedprice, l_quantity) AS unit_price_usd",
             "0.5D + 0.25D * ((l_partkey + l_linenumber) % 13) AS freight_value_usd",
-            *extra,
         )
 
-    def order_items(self) -> DataFrame:
-        """Line items, one row each."""
-        return self._items()
-
-    def item_documents(self) -> DataFrame:
-        """(order_id, line_items): an order's items nested as in its document.
+    def order_documents(self) -> DataFrame:
+        """Order documents, one per order, with their items nested.
 
-        The array of an order is collected per block of the source file, so its
-        length is bounded and an order with very many items spreads over tasks.
+        A document is one row, so an order's items are in one place by the data
+        model itself; orders without items have no array.
         """
-        block = f"xxhash64(_metadata.file_path, _metadata.row_index div {ITEM_BLOCK_ROWS}) AS block"
         item = F.struct(
             "product_id", "seller_id", "quantity", "unit_price_usd", "freight_value_usd"
         )
-        return (
-            self._items(block)
-            .groupBy("order_id", "block")
-            .agg(F.collect_list(item).alias("line_items"))
-            .select("order_id", "line_items")
-        )
+        nested = self.order_items().groupBy("order_id").agg(F.collect_list(item).alias("line_items"))
+        count, *sums = item_totals(F.col("line_items"))
+        return self.order_headers(nested.select("order_id", "line_items", count, *sums), "line_items")
 
-    def order_headers(self, totals: DataFrame) -> DataFrame:
+    def order_headers(self, totals: DataFrame, *extra: str) -> DataFrame:
         """Order documents without their items, next to the items' totals.
 
         ``totals`` is one row per order that has items; the amount paid follows
-        from it.
+        from it. ``extra`` names more of its columns to keep.
         """
         orders = self._located_orders()
         joined = orders.join(totals, orders["k"] == totals["order_id"], "left")
-        paid = round_half_away(F.col("subtotal_usd") + F.col("total_freight_usd"), 2)
+        due = F.col("subtotal_usd") + F.col("total_freight_usd")
+        paid = round_half_away(due + F.expr(OVERPAID), 2)
         return joined.withColumn("paid", paid).selectExpr(
             "k AS order_id",
             "o_custkey AS customer_id",
@@ -218,6 +211,7 @@ class TestTables:
             "item_count",
             "subtotal_usd",
             "total_freight_usd",
+            *extra,
         )
 
     def route_stops(self) -> DataFrame:
