@@ -371,9 +371,12 @@ def hex_lattice(t: TestTables) -> DataFrame:
 # -- feeds --------------------------------------------------------------------
 
 
+def map_inputs(t: TestTables) -> tuple[DataFrame, DataFrame]:
+    return spatial.hex_lattice(spatial.city_box(t.spark)), feeds.h3_zones(mart_h3(t))
+
+
 def zone_map(t: TestTables) -> DataFrame:
-    lattice = spatial.hex_lattice(spatial.city_box(t.spark))
-    return feeds.zone_map(lattice, feeds.h3_zones(mart_h3(t)))
+    return feeds.zone_map(*map_inputs(t))
 
 
 @query
@@ -423,7 +426,7 @@ def feed_zone_kpis(t: TestTables) -> DataFrame:
 
 @query
 def feed_zone_lookup(t: TestTables) -> DataFrame:
-    return feeds.zone_lookup(zone_map(t), *LOOKUP_POINT)
+    return feeds.zone_lookup(*map_inputs(t), *LOOKUP_POINT)
 
 
 # -- quality ------------------------------------------------------------------

@@ -55,11 +55,11 @@ def city_map(spark):
     lattice = spatial.hex_lattice(spatial.city_box(spark))
     inside = lattice.select("h3_cell_9").orderBy("h3_cell_9").first()[0]
     zones = mart(spark, [zone(inside, 17.5, gap=1200.0), zone("0_0", 50.0)])
-    return inside, feeds.zone_map(lattice, feeds.h3_zones(zones)).cache()
+    return inside, feeds.zone_map(lattice, feeds.h3_zones(zones)).cache(), lattice, feeds.h3_zones(zones)
 
 
 def test_map_blanks_cells_without_data(city_map):
-    inside, rows = city_map
+    inside, rows, *_ = city_map
     assert rows.count() == 8085
     assert rows.filter("has_data").count() == 1  # a zone outside the box is not on the map
     blank = rows.filter("NOT has_data").first()
@@ -78,7 +78,7 @@ def test_zones_with_ids_of_another_scheme_stay_on_the_map(spark):
 
 
 def test_map_labels_zones_with_data(city_map):
-    inside, rows = city_map
+    inside, rows, *_ = city_map
     row = rows.filter(F.col("h3_cell_9") == inside).first()
     assert row["status"] == "HIGH RISK" and row["status_color"] == "#ef4444"
     assert row["delay_label"] == "17.5 min avg"
@@ -94,10 +94,10 @@ def test_map_kpis(city_map):
 
 
 def test_lookup(spark, city_map):
-    inside, rows = city_map
+    inside, _, lattice, zones = city_map
     q, r = (int(part) for part in inside.split("_"))
     lat, lon = spark.range(1).select(*geo.hex_centre(F.lit(q), F.lit(r))).first()
-    row = feeds.zone_lookup(rows, lat, lon).first()
+    row = feeds.zone_lookup(lattice, zones, lat, lon).first()
     assert (row["h3_cell_9"], row["gap_class"]) == (inside, "Loss")
     assert row["is_slow"] and row["fails_often"]
 

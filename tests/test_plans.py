@@ -80,7 +80,7 @@ def test_nested_documents_are_pruned_to_the_fields_used(spark, conf):
 def test_zone_lookup_reaches_the_scan_of_a_stored_mart(spark):
     mart = materialize(marts.h3(delivery_metrics(TestTables(spark, SMALL))), "mart_h3")
     lattice = spatial.hex_lattice(spatial.city_box(spark))
-    lookup = feeds.zone_lookup(feeds.zone_map(lattice, feeds.h3_zones(mart)), 10.7769, 106.7009)
+    lookup = feeds.zone_lookup(lattice, feeds.h3_zones(mart), 10.7769, 106.7009)
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(h3_cell_9,\d+_\d+\)", plan(lookup))
 
 

@@ -177,10 +177,10 @@ def zone_kpis(zone_map_feed: DataFrame) -> DataFrame:
     )
 
 
-def zone_lookup(zone_map_feed: DataFrame, lat: float, lon: float) -> DataFrame:
-    """The map row of the zone that holds a point."""
-    picked = geo.hex_cell(F.lit(lat), F.lit(lon))
-    return zone_map_feed.filter(F.col("h3_cell_9") == picked).select(
+def zone_lookup(lattice: DataFrame, zones: DataFrame, lat: float, lon: float) -> DataFrame:
+    """The map row of the zone that holds a point; both sides are cut to it before they meet."""
+    picked = F.col("h3_cell_9") == geo.hex_cell(F.lit(lat), F.lit(lon))
+    return zone_map(lattice.filter(picked), zones.filter(picked)).select(
         "h3_cell_9",
         "dominant_district",
         "avg_delay_minutes",
