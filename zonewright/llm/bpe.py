@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from zonewright.llm.common import map_texts
 
 #: Pre-tokens whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 NEVER = 1 << 60
 
@@ -123,11 +123,6 @@ class ByteBpe:
         self.added = {k: array("I", [v]).tobytes() for k, v in added.items()}
         longest_first = sorted(added, key=len, reverse=True)
         self.added_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
-        # the offset table
-        all_bytes = token | {v: k.encode() for k, v in added.items()}
-        size = max(all_bytes) + 1
-        self.blob = np.frombuffer(b"".join(all_bytes.get(i, b"") for i in range(size)), np.uint8)
-        self.offsets = np.cumsum([0, *(len(all_bytes.get(i, b"")) for i in range(size))])
         self.remembered = _Remembered(self.word)
 
     def _crosses(self, left: int, right: int, before: int = NEVER) -> bool:
@@ -204,6 +199,21 @@ class ByteBpe:
                 known.clear()
         return b"".join(out)
 
+
+class OffsetTable:
+    """The bytes of all tokens in one row, and where each begins."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        letters = _byte_letters()
+        token = {v: k for k, v in spec["model"]["vocab"].items()}
+        plain = {i: bytes(letters[c] for c in k) for i, k in token.items() if all(c in letters for c in k)}
+        plain |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        parts = [plain.get(i, b"") for i in range(max(plain) + 1)]
+        self.blob = np.frombuffer(b"".join(parts), np.uint8)
+        self.offsets = np.cumsum([0, *map(len, parts)])
+
     def decode(self, ids: bytes) -> str:
         """One gather over the offset table; bytes that are no UTF-8 become replacement characters."""
         tokens = np.frombuffer(ids, "<u4")
@@ -220,6 +230,12 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+@lru_cache(2)
+def load_offsets(path: str) -> OffsetTable:
+    """The offset table of a vocabulary, once per Python worker."""
+    return OffsetTable(path)
+
+
 def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of each whole text.
 
@@ -242,7 +258,7 @@ def decode(encoded: DataFrame, path: str, keep: list[str], ids: str = "ids") ->
     """Columns ``keep`` and ``decoded``, the text of each row's ids; null ids give an empty text."""
 
     def rows(all_ids):
-        bpe = load(path)
-        return [(bpe.decode(x) if x else "",) for x in all_ids]
+        table = load_offsets(path)
+        return [(table.decode(x) if x else "",) for x in all_ids]
 
     return map_texts(encoded, keep, ids, [T.StructField("decoded", T.StringType())], rows)
