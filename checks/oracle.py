@@ -11,7 +11,7 @@ import re
 
 
 def _sql(text: str) -> str:
-    """Expand ``r(expression, places)`` to rounding without summation noise."""
+    """Expand ``r(expression, places)`` to rounding as DOUBLE."""
     pattern = re.compile(r"\br\(")
     while match := pattern.search(text):
         start, depth, commas = match.end(), 1, []
@@ -24,7 +24,7 @@ def _sql(text: str) -> str:
                 break
         expression, places = text[start : commas[-1]], text[commas[-1] + 1 : end].strip()
         text = (
-            f"{text[: match.start()]}round(round(({expression})::double, 8), {places})"
+            f"{text[: match.start()]}round(({expression})::double, {places})"
             f"{text[end + 1 :]}"
         )
     return text
@@ -176,10 +176,12 @@ ZONES = (
     + """,
 zone_totals AS (
     SELECT method, cell, count(*) AS total_deliveries, r(avg(delay_minutes), 1) AS avg_delay_minutes,
-           r(sum(delay_cost_usd), 2) AS total_delay_cost_usd,
-           r(sum(margin_gap_usd), 2) AS total_margin_gap_usd,
-           r(avg(margin_gap_usd), 2) AS avg_margin_gap_usd,
-           r(avg(failed) * 100, 1) AS failure_rate_pct, r(avg(hem) * 100, 1) AS hem_access_pct,
+           r(sum(delay_cost_usd::decimal(18,9)), 2) AS total_delay_cost_usd,
+           r(sum(margin_gap_usd::decimal(18,9)), 2) AS total_margin_gap_usd,
+           r(sum(margin_gap_usd::decimal(18,9))::double / count(margin_gap_usd), 2)
+               AS avg_margin_gap_usd,
+           r(100::double * sum(failed) / count(*), 1) AS failure_rate_pct,
+           r(100::double * sum(hem) / count(*), 1) AS hem_access_pct,
            len(list_distinct(list(driver_id)))::bigint AS unique_drivers,
            sum(delay_minutes - 15) > 0 AS is_hotspot,
            min(floor(destination_lat / 0.01::double)) * 0.01::double AS south,
@@ -201,9 +203,9 @@ mart_h3 AS (
 MART_KPIS = """
 mart_kpis AS (
     SELECT count(*) AS total_deliveries, r(avg(delay_minutes), 1) AS avg_delay_minutes,
-           r(avg(late) * 100, 1) AS pct_severely_delayed,
-           r(sum(late * delay_cost_usd), 0) AS at_risk_cost_usd,
-           r(sum(late * margin_gap_usd), 0) AS total_margin_gap_usd,
+           r(100::double * sum(late) / count(*), 1) AS pct_severely_delayed,
+           r(sum(if(late = 1, delay_cost_usd::decimal(18,9), 0)), 0) AS at_risk_cost_usd,
+           r(sum(if(late = 1, margin_gap_usd::decimal(18,9), 0)), 0) AS total_margin_gap_usd,
            (SELECT count(*) FROM (SELECT DISTINCT h3_cell_9 FROM metrics)) AS unique_h3_cells,
            (SELECT count(*) FROM (SELECT DISTINCT grid_cell_id FROM metrics))
                AS unique_grid_cells
@@ -213,10 +215,11 @@ mart_kpis AS (
 MART_DISTRICT = """
 mart_district AS (
     SELECT destination_district, count(*) AS total_deliveries,
-           r(avg(delay_minutes), 1) AS avg_delay_minutes, r(avg(late) * 100, 1) AS pct_delayed,
-           r(avg(failed) * 100, 1) AS failure_rate_pct,
-           r(sum(delay_cost_usd), 2) AS total_delay_cost_usd,
-           r(sum(late * margin_gap_usd), 0) AS margin_gap_usd
+           r(avg(delay_minutes), 1) AS avg_delay_minutes,
+           r(100::double * sum(late) / count(*), 1) AS pct_delayed,
+           r(100::double * sum(failed) / count(*), 1) AS failure_rate_pct,
+           r(sum(delay_cost_usd::decimal(18,9)), 2) AS total_delay_cost_usd,
+           r(sum(if(late = 1, margin_gap_usd::decimal(18,9), 0)), 0) AS margin_gap_usd
     FROM metrics GROUP BY destination_district HAVING destination_district IS NOT NULL)
 """
 
@@ -254,15 +257,18 @@ COMPARISON = """
 SELECT if(method = 'H3', 'H3 (res=9, ~0.1 km²)', 'Grid (0.01°, ~1.1 km²)') AS method,
        count(*) FILTER (WHERE is_first) AS total_cells,
        count(*) FILTER (WHERE is_first AND hot) AS hotspot_cells,
-       r(100 * sum(if(hot, late, NULL)) / max(fleet_late), 1) AS hotspot_capture_rate_pct,
-       r(100 * avg(if(hot, late, NULL)), 1) AS hotspot_precision_pct,
-       r(sum(if(hot, margin_gap_usd, NULL)), 2) AS margin_gap_in_hotspots_usd,
-       r(100 * sum(if(hot, margin_gap_usd, NULL)) / max(fleet_gap), 1) AS margin_gap_capture_pct,
+       r(100::double * sum(if(hot, late, NULL)) / max(fleet_late), 1) AS hotspot_capture_rate_pct,
+       r(100::double * sum(if(hot, late, NULL)) / count(if(hot, late, NULL)), 1)
+           AS hotspot_precision_pct,
+       r(sum(if(hot, margin_gap_usd::decimal(18,9), NULL)), 2) AS margin_gap_in_hotspots_usd,
+       r(100::double * sum(if(hot, margin_gap_usd::decimal(18,9), NULL))::double / max(fleet_gap), 1)
+           AS margin_gap_capture_pct,
        r(avg(if(is_first, zone_spread, NULL)), 2) AS avg_within_cell_delay_stddev,
        r(avg(km), 4) AS mdqe_km,
        if(method = 'H3', 0, 0.228)::double AS sdc_km,
        NULL::double AS cl_us_per_row
-FROM placed, (SELECT sum(late) AS fleet_late, sum(margin_gap_usd) AS fleet_gap FROM metrics)
+FROM placed, (SELECT sum(late) AS fleet_late, sum(margin_gap_usd::decimal(18,9))::double AS fleet_gap
+              FROM metrics)
 GROUP BY placed.method
 """
 
@@ -555,7 +561,7 @@ ORACLE: dict[str, str] = {
         BASE,
         select="""
         SELECT h3_cell_9, count(*) AS deliveries, sum(failed)::bigint AS failed,
-               r(avg(failed) * 100, 1) AS failure_rate_pct
+               r(100::double * sum(failed) / count(*), 1) AS failure_rate_pct
         FROM metrics GROUP BY h3_cell_9 HAVING h3_cell_9 IS NOT NULL
         """,
     ),
@@ -582,7 +588,7 @@ ORACLE: dict[str, str] = {
         SELECT method, cell, n AS deliveries, r(zone_delay, 4) AS avg_delay,
                r(zone_spread, 4) AS stddev_delay, r(gap, 2) AS cell_margin_gap,
                late_rows AS delayed_count, hot AS is_hotspot
-        FROM (SELECT *, sum(margin_gap_usd) OVER (PARTITION BY method, cell) AS gap,
+        FROM (SELECT *, sum(margin_gap_usd::decimal(18,9)) OVER (PARTITION BY method, cell) AS gap,
                      (sum(late) OVER (PARTITION BY method, cell))::bigint AS late_rows
               FROM placed)
         WHERE is_first
@@ -592,7 +598,7 @@ ORACLE: dict[str, str] = {
         BASE,
         select="""
         SELECT count(*) AS total_deliveries, sum(late)::bigint AS total_delayed,
-               r(sum(margin_gap_usd), 2) AS total_margin_gap
+               r(sum(margin_gap_usd::decimal(18,9)), 2) AS total_margin_gap
         FROM metrics
         """,
     ),
@@ -748,8 +754,8 @@ ORACLE: dict[str, str] = {
         """,
         select="""
         SELECT count(*) AS n_zones,
-               coalesce(r(sum(total_margin_gap_usd), 2), 0) AS total_margin_gap_usd,
-               abs(coalesce(r(sum(total_margin_gap_usd), 2), 0)) AS recovery_usd,
+               coalesce(r(sum(total_margin_gap_usd::decimal(18,9)), 2), 0) AS total_margin_gap_usd,
+               abs(coalesce(r(sum(total_margin_gap_usd::decimal(18,9)), 2), 0)) AS recovery_usd,
                coalesce((SELECT left(h3_cell_9, 12) || '…' FROM worst), '—') AS worst_cell_label,
                coalesce((SELECT district FROM worst), '—') AS worst_district
         FROM hotspots
@@ -762,9 +768,10 @@ ORACLE: dict[str, str] = {
         ZONE_MAP,
         select="""
         SELECT count(*) FILTER (WHERE is_hotspot) AS n_hotspots,
-               coalesce(r(sum(total_margin_gap_usd) FILTER (WHERE is_hotspot), 2), 0)
+               coalesce(r(sum(total_margin_gap_usd::decimal(18,9)) FILTER (WHERE is_hotspot), 2), 0)
                    AS hotspot_gap_usd,
-               coalesce(r(avg(avg_delay_minutes) FILTER (WHERE is_hotspot AND has_data), 4), 0)
+               coalesce(r(sum(avg_delay_minutes::decimal(18,9)) FILTER (WHERE is_hotspot AND has_data)::double
+                          / count(*) FILTER (WHERE is_hotspot AND has_data), 4), 0)
                    AS hotspot_delay_minutes
         FROM zone_map
         """,

@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digits kept before the final rounding: removes the noise that the order of a
-# distributed float sum leaves in the last bits, so that ties round stably.
-NOISE_SCALE = 1e8
+# Sums of money are taken over values of nine decimals, which add up to the same
+# in any order. A double's sum depends on the order in its last bits.
+MONEY = "decimal(18,9)"
+
+
+def money(x: Column) -> Column:
+    """An amount as it goes into a sum."""
+    return x.cast(MONEY)
 
 
 def round_half_away(x: Column, places: int) -> Column:
-    """Round half away from zero on the scaled binary value, at most 6 places.
+    """Round half away from zero on the scaled binary value.
 
     Spark's own ``round`` works on the decimal text of the number, so it gives
     1.01 for ``round(1.005, 2)`` where the binary value rounds to 1.0.
     """
     scale = float(10**places)
-    clean = F.rint(x.cast("double") * NOISE_SCALE) / NOISE_SCALE
-    scaled = F.abs(clean) * scale
+    x = x.cast("double")
+    scaled = F.abs(x) * scale
     # The remainder by 1.0 is exact for doubles of any size; floor() would go
     # through BIGINT and saturate on fleet-wide sums.
     fraction = scaled % 1.0
     whole = scaled - fraction + F.when(fraction >= 0.5, 1.0).otherwise(0.0)
-    return F.signum(clean) * whole / scale
+    return F.signum(x) * whole / scale
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

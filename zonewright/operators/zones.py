@@ -12,13 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonewright.functions.numeric import MONEY
 
 # Additive measures of a zone: partial sums of any grouping can be added up.
 MEASURES = {
     "timed": "count(delay_minutes)",
     "delay_sum": "sum(delay_minutes)",
-    "cost_sum": "sum(delay_cost_usd)",
-    "gap_sum": "sum(margin_gap_usd)",
+    "cost_sum": f"sum(CAST(delay_cost_usd AS {MONEY}))",
+    "gap_sum": f"sum(CAST(margin_gap_usd AS {MONEY}))",
     "gap_rows": "count(margin_gap_usd)",
     "failed": "count_if(delivery_status = 'failed')",
     "hem_access": "count_if(has_hem_access)",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import geo
-from zonewright.functions.numeric import pct, round_half_away
+from zonewright.functions.numeric import money, pct, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD, is_delayed
 from zonewright.session import materialize
 
@@ -43,7 +43,7 @@ def fleet_totals(metrics: DataFrame) -> DataFrame:
     return metrics.agg(
         F.count(F.lit(1)).alias("total_deliveries"),
         F.count_if(is_delayed()).alias("total_delayed"),
-        F.sum("margin_gap_usd").alias("total_margin_gap"),
+        F.sum(money(F.col("margin_gap_usd"))).alias("total_margin_gap"),
     )
 
 
@@ -60,7 +60,7 @@ def cell_stats(metrics: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("deliveries"),
         F.avg("delay_minutes").alias("avg_delay"),
         F.stddev_samp("delay_minutes").alias("stddev_delay"),
-        F.sum("margin_gap_usd").alias("cell_margin_gap"),
+        F.sum(money(F.col("margin_gap_usd"))).alias("cell_margin_gap"),
         F.count_if(is_delayed()).alias("delayed_count"),
         (F.avg("delay_minutes") > DELAY_THRESHOLD).alias("is_hotspot"),
         F.avg("destination_lat").alias("centroid_lat"),

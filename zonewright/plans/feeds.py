@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import geo, labels
-from zonewright.functions.numeric import round_half_away
+from zonewright.functions.numeric import money, ratio, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD
 
 # Length of the hotspot list, and the delay from which a zone counts as severe.
@@ -98,7 +98,7 @@ def recommendation(hotspot_list: DataFrame) -> DataFrame:
     gap = F.col("total_margin_gap_usd")
     return hotspot_list.agg(
         F.count(F.lit(1)).alias("n_zones"),
-        F.coalesce(round_half_away(F.sum(gap), 2), F.lit(0.0)).alias("total_margin_gap_usd"),
+        F.coalesce(round_half_away(F.sum(money(gap)), 2), F.lit(0.0)).alias("total_margin_gap_usd"),
         F.min_by(cell, worst_first).alias("worst_cell"),
         F.min_by("district", worst_first).alias("worst_district"),
     ).select(
@@ -171,9 +171,9 @@ def zone_kpis(zone_map_feed: DataFrame) -> DataFrame:
     return zone_map_feed.agg(
         F.count_if(hot).alias("n_hotspots"),
         F.coalesce(
-            round_half_away(F.sum(F.when(hot, F.col("total_margin_gap_usd"))), 2), F.lit(0.0)
+            round_half_away(F.sum(F.when(hot, money(F.col("total_margin_gap_usd")))), 2), F.lit(0.0)
         ).alias("hotspot_gap_usd"),
-        F.coalesce(round_half_away(F.avg(delays), 4), F.lit(0.0)).alias("hotspot_delay_minutes"),
+        F.coalesce(round_half_away(ratio(F.sum(money(delays)), F.count(delays)), 4), F.lit(0.0)).alias("hotspot_delay_minutes"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import geo
-from zonewright.functions.numeric import pct, ratio, round_half_away
+from zonewright.functions.numeric import money, pct, ratio, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD, is_delayed
 from zonewright.operators.zones import zone_profile
 
@@ -32,7 +32,7 @@ def deliveries(metrics: DataFrame) -> DataFrame:
 
 
 def _sum_when(condition: Column, value: str) -> Column:
-    return F.sum(F.when(condition, F.col(value)).otherwise(0.0))
+    return F.sum(F.when(condition, money(F.col(value))).otherwise(0))
 
 
 def kpis(metrics: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def district(metrics: DataFrame) -> DataFrame:
             round_half_away(F.avg("delay_minutes"), 1).alias("avg_delay_minutes"),
             pct(F.count_if(is_delayed()), n).alias("pct_delayed"),
             pct(F.count_if(F.col("delivery_status") == "failed"), n).alias("failure_rate_pct"),
-            round_half_away(F.sum("delay_cost_usd"), 2).alias("total_delay_cost_usd"),
+            round_half_away(F.sum(money(F.col("delay_cost_usd"))), 2).alias("total_delay_cost_usd"),
             round_half_away(_sum_when(is_delayed(), "margin_gap_usd"), 0).alias("margin_gap_usd"),
         )
     )
