@@ -797,6 +797,18 @@ ORACLE: dict[str, str] = {
         " GROUP BY {column} HAVING count(*) > 1)",
     ),
     "dq_not_null": _dq("not_null", "SELECT count(*) FROM {source} WHERE {column} IS NULL"),
+    "dq_route_sequence": _with(
+        BASE,
+        f"numbered AS (SELECT *, {STOP_NUMBER} FROM deliveries)",
+        select="""
+        SELECT route_id, count(*) AS stops,
+               max(stop_number) - count(DISTINCT stop_number) AS missing_numbers,
+               (count(stop_number) - count(DISTINCT stop_number))::bigint AS doubled_numbers,
+               count(*) FILTER (WHERE stop_number IS NULL) AS without_number,
+               count(*) FILTER (WHERE estimated_arrival_at < dispatched_at) AS early_arrivals
+        FROM numbered GROUP BY route_id
+        """,
+    ),
     "dq_payment_reconciles": _with(
         BASE,
         f"checked AS (SELECT {ORDER_COLUMNS} FROM staged_orders)",

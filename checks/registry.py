@@ -471,6 +471,11 @@ def dq_not_null(t: TestTables) -> DataFrame:
     return reduce(DataFrame.unionByName, tests)
 
 
+@query
+def dq_route_sequence(t: TestTables) -> DataFrame:
+    return quality.route_sequence(deliveries(t, stop_numbers=True))
+
+
 @query
 def dq_payment_reconciles(t: TestTables) -> DataFrame:
     return quality.payment_reconciliation(orders(t))

@@ -112,6 +112,13 @@ def test_column_tests(spark):
     assert df.filter("id = 1").count() == 2
 
 
+def test_route_sequence_finds_gaps_doubles_and_early_arrivals(spark):
+    rows = [("a", 1, 5, 9), ("a", 2, 5, 9), ("b", 1, 5, 9), ("b", 1, 5, 9), ("b", 4, 5, 3), ("b", None, 5, 9), ("c", None, 5, 9)]
+    df = spark.createDataFrame(rows, "route_id string, stop_number bigint, dispatched_at int, estimated_arrival_at int")
+    got = {tuple(r) for r in quality.route_sequence(df).collect()}
+    assert got == {("a", 2, 0, 0, 0, 0), ("b", 4, 2, 1, 1, 1), ("c", 1, 0, 0, 1, 0)}
+
+
 def test_payment_reconciliation_finds_wrong_and_missing_amounts(spark):
     documents = [order("a", [ITEM]), order("b", [ITEM]), order("c", [ITEM]), order("d", [])]
     documents[1]["payment"]["amount_usd"] += 0.01

@@ -89,7 +89,9 @@ def test_comparison_scans_the_metrics_once_per_pass(spark):
     base = materialize(delivery_metrics(t).select(*comparison.COLUMNS), "metrics")
     stats = plan(comparison.cell_stats(base))
     assert stats.count("FileScan") == 1
-    assert len(re.findall(r"Exchange hashpartitioning", stats)) == 1
+    # one for the pairs of zones, one for the zones, which are sums of pairs
+    assert len(re.findall(r"Exchange hashpartitioning", stats)) == 2
+    assert re.search(r"Exchange hashpartitioning\(h3_cell_9#\d+, grid_cell_id#\d+", stats)
 
 
 def test_zone_profile_shuffles_partial_results_only(spark):

@@ -37,6 +37,23 @@ def not_null(df: DataFrame, name: str, column: str) -> DataFrame:
     )
 
 
+def route_sequence(deliveries: DataFrame) -> DataFrame:
+    """Per route: stops, stop numbers that are missing or doubled, planned arrivals before dispatch.
+
+    Numbers should run from 1 without a gap. They are deduplicated before they are
+    counted, so a crowded route is no single task's work.
+    """
+    early = F.count_if(F.col("estimated_arrival_at") < F.col("dispatched_at"))
+    numbers = deliveries.groupBy("route_id", "stop_number").agg(F.count(F.lit(1)).alias("n"), early.alias("early"))
+    return numbers.groupBy("route_id").agg(
+        F.sum("n").alias("stops"),
+        F.greatest(F.max("stop_number") - F.count("stop_number"), F.lit(0)).alias("missing_numbers"),
+        F.sum(F.when(F.col("stop_number").isNotNull(), F.col("n") - 1).otherwise(0)).alias("doubled_numbers"),
+        F.sum(F.when(F.col("stop_number").isNull(), F.col("n")).otherwise(0)).alias("without_number"),
+        F.sum("early").alias("early_arrivals"),
+    )
+
+
 def payment_reconciliation(orders: DataFrame) -> DataFrame:
     """One row: orders whose payment is, and is not, goods plus freight.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import geo
-from zonewright.functions.numeric import money, pct, round_half_away
+from zonewright.functions.numeric import money, pct, ratio, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD, is_delayed
 from zonewright.session import materialize
 
@@ -51,20 +51,37 @@ def cell_stats(metrics: DataFrame) -> DataFrame:
     """Per (method, cell): size, delay mean and spread, gap, hotspot, centroid.
 
     Deliveries without a zone form a group with a NULL cell. It is no zone, but
-    the fleet totals are the sums over all groups of a method.
+    the fleet totals are the sums over all groups of a method. Rows are combined
+    per pair of zones first, so that only pairs are doubled. Delays are integers, so their
+    sums and squares are exact.
     """
-    measured = by_method(
-        metrics, "destination_lat", "destination_lon", "delay_minutes", "margin_gap_usd"
+    delay = F.col("delay_minutes").cast("decimal(20,0)")
+    pairs = metrics.groupBy("h3_cell_9", "grid_cell_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("delay_minutes").alias("timed"),
+        F.sum("delay_minutes").alias("delay_sum"),
+        F.sum((delay * delay).cast("decimal(28,0)")).alias("square_sum"),
+        F.sum(money(F.col("margin_gap_usd"))).alias("gap"),
+        F.count_if(is_delayed()).alias("delayed"),
+        F.count("destination_lat").alias("placed"),
+        F.sum("destination_lat").alias("lat"),
+        F.sum("destination_lon").alias("lon"),
     )
-    return measured.groupBy("method", "cell").agg(
-        F.count(F.lit(1)).alias("deliveries"),
-        F.avg("delay_minutes").alias("avg_delay"),
-        F.stddev_samp("delay_minutes").alias("stddev_delay"),
-        F.sum(money(F.col("margin_gap_usd"))).alias("cell_margin_gap"),
-        F.count_if(is_delayed()).alias("delayed_count"),
-        (F.avg("delay_minutes") > DELAY_THRESHOLD).alias("is_hotspot"),
-        F.avg("destination_lat").alias("centroid_lat"),
-        F.avg("destination_lon").alias("centroid_lon"),
+    sums = ["n", "timed", "delay_sum", "square_sum", "gap", "delayed", "placed", "lat", "lon"]
+    cells = by_method(pairs, *sums).groupBy("method", "cell").agg(*[F.sum(c).alias(c) for c in sums])
+    mean = ratio(F.col("delay_sum"), F.col("timed"))
+    squares = F.col("square_sum").cast("double") - F.col("delay_sum").cast("double") * mean
+    return cells.select(
+        "method",
+        "cell",
+        F.col("n").alias("deliveries"),
+        mean.alias("avg_delay"),
+        F.sqrt(ratio(F.greatest(squares, F.lit(0.0)), F.nullif(F.col("timed") - 1, F.lit(0)))).alias("stddev_delay"),
+        F.col("gap").alias("cell_margin_gap"),
+        F.col("delayed").alias("delayed_count"),
+        (mean > DELAY_THRESHOLD).alias("is_hotspot"),
+        ratio(F.col("lat"), F.col("placed")).alias("centroid_lat"),
+        ratio(F.col("lon"), F.col("placed")).alias("centroid_lon"),
     )
 
 
