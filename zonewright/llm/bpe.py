@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from zonewright.llm.common import map_texts
 
-#: Pre-tokens whose ids a Python worker remembers before it starts afresh.
+#: Pre-tokens whose ids a task remembers before it starts afresh.
 REMEMBERED = 200_000
 
 NEVER = 1 << 60
@@ -185,6 +185,11 @@ class ByteBpe:
                 matches = longest(letters, at)
         return tokens
 
+    def forget(self) -> None:
+        """Keeps the tables only."""
+        self.remembered.clear()
+        self.fits.clear()
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         parts = self.added_split.split(text) if self.added_split else [text]
@@ -251,7 +256,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
         return [(len(x) // 4, x) for x in ids]
 
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
-    return map_texts(docs, keep, text, new, rows)
+    return map_texts(docs, keep, text, new, rows, lambda: load(path).forget())
 
 
 def decode(encoded: DataFrame, path: str, keep: list[str], ids: str = "ids") -> DataFrame:

@@ -180,6 +180,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 common = len(own & hub)
                 linked.append(100 * common >= PERCENT * (len(own) + len(hub) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return sided.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
