@@ -43,12 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they decode to its text."""
-    keep = ["doc_id", "lang", "source"]
-    texts = docs.select(*keep, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"), "text")
-    encoded = bpe.encode(texts, queries.BYTE_BPE, [*keep, "text_sha256"])
-    decoded = bpe.decode(encoded, queries.BYTE_BPE, [*keep, "text_sha256", "n_tokens", "ids"])
-    same = F.sha2(F.col("decoded").cast("binary"), 256) == F.col("text_sha256")
-    return decoded.select(*keep, "n_tokens", "ids", same.alias("round_trip"))
+    return bpe.round_trip(docs, queries.BYTE_BPE, ["doc_id", "lang", "source"])
 
 
 STAGES = [

@@ -267,3 +267,15 @@ def decode(encoded: DataFrame, path: str, keep: list[str], ids: str = "ids") ->
         return [(table.decode(x) if x else "",) for x in all_ids]
 
     return map_texts(encoded, keep, ids, [T.StructField("decoded", T.StringType())], rows)
+
+
+def round_trip(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """As :func:`encode`, with ``round_trip``: whether the ids decode to the text, in the same pass over it."""
+
+    def rows(texts):
+        bpe, table = load(path), load_offsets(path)
+        ids = [bpe.encode(t.decode()) if t else b"" for t in texts]
+        return [(len(x) // 4, x, table.decode(x) == (t or b"").decode()) for x, t in zip(ids, texts, strict=True)]
+
+    new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("round_trip", T.BooleanType())]
+    return map_texts(docs, keep, text, new, rows, lambda: load(path).forget())
