@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import QUERIES, TestTables, delivery_metrics
 from tests.conftest import MEDIUM, SMALL
+from zonewright.functions import geo
 from zonewright.operators import spatial, zones
 from zonewright.operators.prefix import running_totals
 from zonewright.plans import comparison, marts
@@ -272,3 +273,18 @@ def test_rows_without_a_key_come_first_and_spread(spark):
     got = running_totals(df, "g", "k", "n", sums={"so_far": "v"}, parts=8).collect()
     assert sorted(r.n for r in got) == list(range(1, 1001)) and all(r.n == r.so_far for r in got)
     assert {r.n for r in got if r.k is None} == set(range(1, 901))
+
+
+# -- reference latitude -------------------------------------------------------
+
+
+def test_hexagons_are_true_to_scale_at_their_reference_latitude(spark):
+    box = spark.sql("SELECT 50.0D AS south, 8.0D AS west, 50.02D AS north, 8.03D AS east")
+    cells = spatial.hex_lattice(box, reference_lat=50.0)
+    indexed = cells.withColumn("again", geo.hex_cell(F.col("centre_lat"), F.col("centre_lon"), 50.0))
+    assert cells.count() > 20 and indexed.where("again <> h3_cell_9").count() == 0
+    here, there = cells.alias("a"), cells.alias("b")
+    near = here.join(there, F.expr("(b.q - a.q, b.r - a.r) IN ((1, 0), (0, 1), (1, -1))"))
+    km = geo.haversine_km(*(F.col(c) for c in ("a.centre_lat", "a.centre_lon", "b.centre_lat", "b.centre_lon")))
+    low, high = near.agg(F.min(km), F.max(km)).first()
+    assert high - low < 0.001

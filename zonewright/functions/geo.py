@@ -15,7 +15,10 @@ EARTH_RADIUS_KM = 6371.0
 
 GRID_SIZE_DEG = 0.01
 
-# Planar hexagon lattice: pointy-top, equal size, area 0.1053 km2.
+# Planar hexagon lattice: pointy-top, equal size, area 0.1053 km2. It is true to scale at
+# its reference latitude and a degree or two around it; another city takes its own.
+REFERENCE_LAT = 10.77
+
 # Km per degree at 10.77 degrees north, side in km, sqrt(3) / 3.
 KM_PER_DEG_LON = 109.23625344213714
 KM_PER_DEG_LAT = 111.19492664455873
@@ -37,6 +40,12 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return 2.0 * EARTH_RADIUS_KM * F.asin(F.sqrt(a))
 
 
+def km_per_degree_lon(reference_lat: float) -> float:
+    if reference_lat == REFERENCE_LAT:
+        return KM_PER_DEG_LON
+    return KM_PER_DEG_LAT * math.cos(math.radians(reference_lat))
+
+
 def _cell_id(first: Column, second: Column) -> Column:
     # concat is NULL if either part is, so a point without coordinates has no cell
     return F.concat(first.cast("string"), F.lit("_"), second.cast("string"))
@@ -67,13 +76,15 @@ def lattice_step(cell: Column, position: int) -> Column:
 # -- planar hexagons ----------------------------------------------------------
 
 
-def hex_axial(lat: Column, lon: Column) -> tuple[Column, Column]:
+def hex_axial(
+    lat: Column, lon: Column, reference_lat: float = REFERENCE_LAT
+) -> tuple[Column, Column]:
     """Axial lattice coordinates (q, r) of the hexagon that holds a point.
 
     Each cube coordinate is rounded on its own; the one that moved furthest is
     then recomputed from the other two, so the three still sum to zero.
     """
-    x = lon * KM_PER_DEG_LON
+    x = lon * km_per_degree_lon(reference_lat)
     y = lat * KM_PER_DEG_LAT
     q = (SQRT3_OVER_3 * x - y / 3.0) / HEX_SIDE_KM
     r = (2.0 * y / 3.0) / HEX_SIDE_KM
@@ -88,17 +99,19 @@ def hex_axial(lat: Column, lon: Column) -> tuple[Column, Column]:
     )
 
 
-def hex_cell(lat: Column, lon: Column) -> Column:
+def hex_cell(lat: Column, lon: Column, reference_lat: float = REFERENCE_LAT) -> Column:
     """``q_r`` id of the hexagon that holds a point."""
-    return _cell_id(*hex_axial(lat, lon))
+    return _cell_id(*hex_axial(lat, lon, reference_lat))
 
 
 def hex_id(q: Column, r: Column) -> Column:
     return _cell_id(q, r)
 
 
-def hex_centre(q: Column, r: Column) -> tuple[Column, Column]:
+def hex_centre(
+    q: Column, r: Column, reference_lat: float = REFERENCE_LAT
+) -> tuple[Column, Column]:
     """(lat, lon) of a hexagon's centre."""
     x = HEX_SIDE_KM * math.sqrt(3.0) * (q + r / 2.0)
     y = HEX_SIDE_KM * 1.5 * r
-    return y / KM_PER_DEG_LAT, x / KM_PER_DEG_LON
+    return y / KM_PER_DEG_LAT, x / km_per_degree_lon(reference_lat)

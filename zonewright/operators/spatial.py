@@ -16,14 +16,16 @@ def with_cells(
     documents: DataFrame,
     lat: str = "spatial_data.destination_lat",
     lon: str = "spatial_data.destination_lon",
+    reference_lat: float = geo.REFERENCE_LAT,
 ) -> DataFrame:
     """Add ``h3_cell_9`` and ``grid_cell_id``; a zone id already there is kept, row by row.
 
     Free of state, so it runs inside the scan. The column may be missing, or be
     declared and hold ids for some rows only.
     """
-    for name, index in (("h3_cell_9", geo.hex_cell), ("grid_cell_id", geo.grid_cell)):
-        computed = index(F.col(lat), F.col(lon))
+    point = F.col(lat), F.col(lon)
+    indexes = {"h3_cell_9": geo.hex_cell(*point, reference_lat), "grid_cell_id": geo.grid_cell(*point)}
+    for name, computed in indexes.items():
         known = [F.col(name)] if name in documents.columns else []
         documents = documents.withColumn(name, F.coalesce(*known, computed))
     return documents
@@ -46,14 +48,15 @@ def city_box(spark) -> DataFrame:
     )
 
 
-def hex_lattice(box: DataFrame) -> DataFrame:
+def hex_lattice(box: DataFrame, reference_lat: float = geo.REFERENCE_LAT) -> DataFrame:
     """Every hexagon whose centre lies in the box: (h3_cell_9, q, r, centre).
 
     Lattice rows are spread over the cluster before each expands to its cells,
     so a large box is not one task's work. The number of tasks is given, as the
     rows are too few for AQE to see a reason for more than one.
     """
-    tasks = box.sparkSession.sparkContext.defaultParallelism
+    tasks = int(box.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    km_per_degree = geo.km_per_degree_lon(reference_lat)
     south, west, north, east = (F.col(c) for c in ("south", "west", "north", "east"))
     q, r = F.col("q"), F.col("r")
 
@@ -62,7 +65,7 @@ def hex_lattice(box: DataFrame) -> DataFrame:
 
     # x = S * sqrt(3) * (q + r / 2), solved for q; one cell of slack on each side
     def column_of(lon: Column) -> Column:
-        return lon * geo.KM_PER_DEG_LON * geo.SQRT3_OVER_3 / geo.HEX_SIDE_KM - r / 2.0
+        return lon * km_per_degree * geo.SQRT3_OVER_3 / geo.HEX_SIDE_KM - r / 2.0
 
     rows = box.withColumn(
         "r", F.explode(F.sequence(F.floor(row_of(south)) - 1, F.ceil(row_of(north)) + 1))
@@ -70,7 +73,7 @@ def hex_lattice(box: DataFrame) -> DataFrame:
     cells = rows.withColumn(
         "q", F.explode(F.sequence(F.floor(column_of(west)) - 1, F.ceil(column_of(east)) + 1))
     )
-    centre_lat, centre_lon = geo.hex_centre(q, r)
+    centre_lat, centre_lon = geo.hex_centre(q, r, reference_lat)
     return (
         cells.withColumn("centre_lat", centre_lat)
         .withColumn("centre_lon", centre_lon)

@@ -177,9 +177,15 @@ def zone_kpis(zone_map_feed: DataFrame) -> DataFrame:
     )
 
 
-def zone_lookup(lattice: DataFrame, zones: DataFrame, lat: float, lon: float) -> DataFrame:
+def zone_lookup(
+    lattice: DataFrame,
+    zones: DataFrame,
+    lat: float,
+    lon: float,
+    reference_lat: float = geo.REFERENCE_LAT,
+) -> DataFrame:
     """The map row of the zone that holds a point; both sides are cut to it before they meet."""
-    picked = F.col("h3_cell_9") == geo.hex_cell(F.lit(lat), F.lit(lon))
+    picked = F.col("h3_cell_9") == geo.hex_cell(F.lit(lat), F.lit(lon), reference_lat)
     return zone_map(lattice.filter(picked), zones.filter(picked)).select(
         "h3_cell_9",
         "dominant_district",
