@@ -39,7 +39,9 @@ def running_totals(
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # NULL would not join: mark what is there, and let a NULL key come first
     marked = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
-    spread = F.when(F.col(order).isNull(), F.rand(7)).otherwise(0.0)
+    # of the row's values, so that a task that runs again deals its rows as before
+    values = F.xxhash64(*(F.col(c) for c in df.columns))
+    spread = F.when(F.col(order).isNull(), values).otherwise(0)
     cut = (
         df.withColumns({"_group": marked, "_spread": spread})
         .repartitionByRange(parts, "_group", F.asc_nulls_first(order), "_spread")
