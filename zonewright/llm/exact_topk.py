@@ -101,7 +101,9 @@ def top_k(table: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
 
     asked = queries.where(_usable(vector) & F.col(key).isNotNull())
     asked = asked.select(F.col(key).cast("long").alias("query_id"), integers(vector).alias("ints")).distinct()
-    asked = asked.withColumn("q", F.monotonically_increasing_id()).join(vectors.select("ints", F.col("v").alias("own")), "ints", "left")
+    # numbers are stored before they are joined: a task that ran again could number its rows otherwise
+    asked = materialize(asked.withColumn("q", F.monotonically_increasing_id()), "numbered")
+    asked = asked.join(vectors.select("ints", F.col("v").alias("own")), "ints", "left")
     asked = materialize(asked.withColumn("own", F.coalesce("own", F.lit(-1))), "queries")
     n_parts = max(1, math.ceil(asked.count() / QUERY_ROWS))
     part = F.pmod(F.xxhash64("q"), F.lit(n_parts)).cast("int")

@@ -37,7 +37,8 @@ def shuffle(df: DataFrame, n_shards: int, seed: int = 0, bucket_bytes: int = BUC
 
     The scatter hashes the seed and the row's place in its input partition, not its
     values, so copies and rows with one key spread evenly, and nulls need no rule. The
-    same files read in the same splits give the same result. Columns may have any names, as
+    same files read in the same splits give the same result; an input that is
+    computed should be stored first, since a task that ran again might order its rows otherwise. Columns may have any names, as
     they stay inside ``record``. An empty table gives an empty one. Buckets are
     written to the shared folder, so a lost executor can't change a row's place.
     """
