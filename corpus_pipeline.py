@@ -15,6 +15,9 @@ from zonewright.session import materialize
 #: SQL can express neither the lexicon's learning nor compression, sampling and merges.
 ORACLE_SQL = None
 
+#: Share of two documents' shingles, in percent, from which one is a near copy of the other.
+NEAR_PERCENT = 80
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score as toxic."""
@@ -29,7 +32,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, once; those without an id stay."""
-    kept = near_dedup.groups(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = near_dedup.groups(docs, percent=NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     single = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return single.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 

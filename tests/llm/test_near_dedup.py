@@ -105,3 +105,35 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     out = queries.op5_near_dedup(spark, SMALL).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out) == brute(rows)
+
+
+def brute_at(rows, percent):
+    """Smallest key reachable of each row with a set, by links of another percentage."""
+    sets = {k: nd.shingle_set((t or "").encode()) for k, t in rows}
+    root = {k: k for k in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                lo, hi = sorted((root[a], root[b]))
+                root = {k: lo if r == hi else r for k, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_another_percentage(docs, corpus, percent):
+    rng = random.Random(23)
+    base = [f"{rng.random()}" for _ in range(104)]  # 100 shingles, of which the last k differ
+    cut = [" ".join(base[: 104 - k] + [f"{rng.random()}" for _ in range(k)]) for k in (0, 9, 10, 11, 12, 13, 24, 25, 26)]
+    rows = corpus + [(2000 + i, t) for i, t in enumerate(cut)]
+    got = {r.doc_id: r.component_id for r in nd.groups(docs(rows), percent=percent).collect()}
+    assert got == brute_at(rows, percent)
+
+
+def test_bands_and_bounds_follow_the_percentage():
+    for percent in (50, 70, 80, 85, 90, 99):
+        bands, rows = nd.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands < 1 / 3_500_000
+        assert nd.least_estimate(percent) < percent / 100 - 0.05
+        assert len(nd.signature(b"a b c d e f g", percent)[3]) == bands
+    with pytest.raises(ValueError):
+        nd.banding(100)

@@ -80,3 +80,12 @@ def test_an_empty_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SMALL).count() == 0
+
+
+def test_near_copies_from_80_percent_go(spark):
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    base = [f"base{i}" for i in range(100)]  # 96 shingles
+    cut = lambda k: " ".join(base[: 100 - k] + [f"new{k}x{i}" for i in range(k)])
+    rows = [(1, cut(0)), (2, cut(9)), (3, cut(11))]  # 0.829 and 0.794 of the union with the first
+    docs = spark.createDataFrame([(i, t, "en", "planted", 1) for i, t in rows], schema)
+    assert ids(corpus_pipeline.near_dedup_stage(spark, docs, SMALL)) == [1, 3]

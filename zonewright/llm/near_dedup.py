@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,24 +30,35 @@ from pyspark.sql import types as T
 from zonewright.llm.common import map_texts
 from zonewright.session import materialize
 
-#: Words of a shingle, and the share of two sets' union, in percent, that links them.
+#: Words of a shingle, and the share of two sets' union, in percent, that links them unless another is given.
 SHINGLE, PERCENT = 5, 85
 
-#: Bands and samples of a band: a link of 85 percent is in no common bucket once in four million.
-BANDS, ROWS = 32, 6
+#: How often a link may be in no common bucket, about once in four million, and the samples that its bands may take for that.
+MISSED, MOST_SAMPLES = 2.7e-7, 200
+
+
+@cache
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and samples of a band: the longest bands that miss a link of ``percent`` no more often than ``MISSED``."""
+    if not 10 <= percent <= 99:
+        raise ValueError(f"{percent} percent is not from 10 to 99")
+    found = ((math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** rows))), rows) for rows in range(1, MOST_SAMPLES + 1))
+    return max((x for x in found if x[0] * x[1] <= MOST_SAMPLES), key=lambda x: x[1])
+
+
+BANDS, ROWS = banding(PERCENT)
 
 #: Bits of the odd sketch of the samples, and of the bitmap of the whole set, as 64-bit words.
 SKETCH_WORDS, SET_WORDS = 8, 16
 
-#: Pairs of a lower estimate are left out: eight standard deviations below a link.
-LEAST_ESTIMATE = 0.65
+#: Pairs whose estimate is so many standard deviations of the samples below a link are left out.
+DEVIATIONS = 8
 
-_SAMPLES = BANDS * ROWS
 _RANDOM = np.random.default_rng(5)
-_FACTORS = (_RANDOM.integers(0, 1 << 31, _SAMPLES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-_OFFSETS = _RANDOM.integers(0, 1 << 32, _SAMPLES, dtype=np.uint32)
+_FACTORS = (_RANDOM.integers(0, 1 << 31, MOST_SAMPLES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_OFFSETS = _RANDOM.integers(0, 1 << 32, MOST_SAMPLES, dtype=np.uint32)
 _MULTIPLIERS = _RANDOM.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_IN_BAND = _RANDOM.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_IN_BAND = _RANDOM.integers(0, 1 << 63, MOST_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = _RANDOM.integers(0, 1 << 63, 4, dtype=np.uint64)
 
 #: Shingles whose samples are computed at once, so that the work stays in the cache.
@@ -93,18 +105,20 @@ def _parities(positions: np.ndarray, n_words: int) -> list[int]:
     return np.packbits(bits).view(np.int64).tolist()
 
 
-def signature(text: bytes) -> tuple:
-    """Size of the set, its identity (two hashes), band keys, odd sketch and set bitmap."""
+def signature(text: bytes, percent: int = PERCENT) -> tuple:
+    """Size of the set, its identity (two hashes), band keys for links of ``percent``, odd sketch and set bitmap."""
+    bands, in_band = banding(percent)
+    n = bands * in_band
     elements = _hashed_set(text)
     if not len(elements):
         return 0, None, None, None, None, None
     high = (elements >> np.uint64(32)).astype(np.uint32)
-    samples = np.full(_SAMPLES, 0xFFFFFFFF, np.uint32)
+    samples = np.full(n, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(high), _STRIDE):
-        np.minimum(samples, (high[i : i + _STRIDE, None] * _FACTORS + _OFFSETS).min(0), out=samples)
+        np.minimum(samples, (high[i : i + _STRIDE, None] * _FACTORS[:n] + _OFFSETS[:n]).min(0), out=samples)
     wide = samples.astype(np.uint64)
-    keys = _mixed((wide.reshape(BANDS, ROWS) * _IN_BAND).sum(1) + np.arange(1, BANDS + 1, dtype=np.uint64) * _SALTS[1])
-    folded = _mixed(wide + np.arange(_SAMPLES, dtype=np.uint64) * _SALTS[2]) % np.uint64(64 * SKETCH_WORDS)
+    keys = _mixed((wide.reshape(bands, in_band) * _IN_BAND[:in_band]).sum(1) + np.arange(1, bands + 1, dtype=np.uint64) * _SALTS[1])
+    folded = _mixed(wide + np.arange(n, dtype=np.uint64) * _SALTS[2]) % np.uint64(64 * SKETCH_WORDS)
     identity = int(elements.sum().astype(np.int64)), int(np.bitwise_xor.reduce(_mixed(elements + _SALTS[3])).astype(np.int64))
     whole = elements % np.uint64(64 * SET_WORDS)
     return len(elements), *identity, keys.astype(np.int64).tolist(), _parities(folded, SKETCH_WORDS), _parities(whole, SET_WORDS)
@@ -127,20 +141,26 @@ def _differing(left: str, right: str, n: int) -> Column:
                F.bit_count(F.col(f"{left}0").bitwiseXOR(F.col(f"{right}0"))))
 
 
-def _estimate(differing: Column) -> Column:
+def _estimate(differing: Column, percent: int) -> Column:
     """Share of samples that agree, from the set bits of the sketches' XOR."""
     bits = 64 * SKETCH_WORDS
-    return 1 + bits / (4.0 * _SAMPLES) * F.log(F.greatest(1 - 2 * differing / bits, F.lit(1e-9)))
+    return 1 + bits / (4.0 * math.prod(banding(percent))) * F.log(F.greatest(1 - 2 * differing / bits, F.lit(1e-9)))
+
+
+def least_estimate(percent: int) -> float:
+    """An estimate that a link of ``percent`` doesn't fall below."""
+    share = percent / 100
+    return max(0.0, share - DEVIATIONS * math.sqrt(share * (1 - share) / math.prod(banding(percent))))
 
 
-def _may_link(left: str, right: str) -> Column:
+def _may_link(left: str, right: str, percent: int) -> Column:
     """False only for pairs that no link is between."""
     a, b = F.col(f"{left}n"), F.col(f"{right}n")
-    sizes = (100 * F.least(a, b) >= PERCENT * F.greatest(a, b)) & (
-        (100 + PERCENT) * _differing(f"{left}p", f"{right}p", SET_WORDS) <= (100 - PERCENT) * (a + b)
+    sizes = (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
+        (100 + percent) * _differing(f"{left}p", f"{right}p", SET_WORDS) <= (100 - percent) * (a + b)
     )
     # the estimate falls with the number of set bits, so the bound is put as a number of bits
-    most = 32 * SKETCH_WORDS * (1 - math.exp(-4.0 * _SAMPLES * (1 - LEAST_ESTIMATE) / (64 * SKETCH_WORDS)))
+    most = 32 * SKETCH_WORDS * (1 - math.exp(-4.0 * math.prod(banding(percent)) * (1 - least_estimate(percent)) / (64 * SKETCH_WORDS)))
     return sizes & (_differing(f"{left}o", f"{right}o", SKETCH_WORDS) <= int(most))
 
 
@@ -154,7 +174,7 @@ def _side(side: str) -> list[Column]:
     ]
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets link."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     held = materialize(texts.join(wanted, "id", "left_semi"), "texts")
@@ -178,7 +198,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 hub = of(y)
                 own = shingle_set(x)
                 common = len(own & hub)
-                linked.append(100 * common >= PERCENT * (len(own) + len(hub) - common))
+                linked.append(100 * common >= percent * (len(own) + len(hub) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
         pa.default_memory_pool().release_unused()
 
@@ -214,17 +234,17 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), "root")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """Columns ``key``, ``n_shingles``, ``component_id`` and ``kept`` (the row has its component's smallest key).
 
-    Two rows link if their shingle sets share ``PERCENT`` of their union. Null, empty and
+    Two rows link if their shingle sets share ``percent`` percent of their union. Null, empty and
     blank texts have an empty set, which links with nothing; fewer words than a shingle
     are one shingle. Rows with equal keys are one node, so repeated rows share their component, and
     a key with several texts joins their groups. Rows without a key link with nothing, have no component, and are
     kept. Only ``key`` and ``text`` are read, so other columns can't clash. An empty table gives an empty one.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    signed = materialize(map_texts(rows, ["id"], "text", SIGNATURE, lambda texts: [signature(t or b"") for t in texts]), "signatures")
+    signed = materialize(map_texts(rows, ["id"], "text", SIGNATURE, lambda texts: [signature(t or b"", percent) for t in texts]), "signatures")
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
 
     # equal sets are one class, whose smallest id stands for it
@@ -245,10 +265,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     star = shared.join(hubs.select("bucket", (-F.col("hub.minus")).alias("hub")), "bucket").where("id <> hub").select("id", "hub").distinct()
     sided = star.withColumnsRenamed({"id": "l_id", "hub": "r_id"})
     sided = sided.join(reps.select(*_side("l_")), "l_id").join(reps.select(*_side("r_")), "r_id")
-    estimate = _estimate(_differing("l_o", "r_o", SKETCH_WORDS))
-    nearest = sided.where(_may_link("l_", "r_")).groupBy("l_id").agg(F.max(F.struct(estimate.alias("e"), "r_id")).alias("hub"))
+    estimate = _estimate(_differing("l_o", "r_o", SKETCH_WORDS), percent)
+    nearest = sided.where(_may_link("l_", "r_", percent)).groupBy("l_id").agg(F.max(F.struct(estimate.alias("e"), "r_id")).alias("hub"))
     pairs = materialize(nearest.select(F.col("l_id").alias("a"), F.col("hub.r_id").alias("b")), "pairs")
-    links = materialize(_confirmed(pairs, texts), "links")
+    links = materialize(_confirmed(pairs, texts, percent), "links")
 
     # keys with several texts join their classes
     several = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
@@ -260,9 +280,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     open_ = rooted.join(mixed, "bucket", "left_semi")
     open_ = materialize(open_.join(reps.select("id", "n_shingles", "odd", "parity"), "id"), "open")
     left, right = (open_.select("bucket", F.col("root").alias(f"{side}root"), *_side(side)) for side in ("l_", "r_"))
-    across = left.join(right, "bucket").where((F.col("l_root") < F.col("r_root")) & _may_link("l_", "r_"))
+    across = left.join(right, "bucket").where((F.col("l_root") < F.col("r_root")) & _may_link("l_", "r_", percent))
     pairs = materialize(across.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct(), "pairs")
-    across = _confirmed(pairs, texts)
+    across = _confirmed(pairs, texts, percent)
     # components of components: every id stays tied to the root it had
     found = materialize(components(across.union(found.select("id", "root"))), "components")
 

@@ -162,4 +162,4 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that share 85 percent of their shingles, directly or through others."""
-    return near_dedup.groups(table(spark, folder, "documents"))
+    return near_dedup.groups(table(spark, folder, "documents"), percent=85)
