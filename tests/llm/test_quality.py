@@ -2,6 +2,9 @@
 
 import random
 import re
+from pathlib import Path
+
+import pytest
 
 from tests.conftest import MEDIUM, SMALL
 from zonewright.llm import quality, queries
@@ -76,3 +79,27 @@ def test_query_counts_and_good_rows(spark):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").where("quality = 1").select("doc_id")
     good = queries.op7_quality(spark, MEDIUM).where("NOT base_failed").join(labels, "doc_id")
     assert good.where("NOT kept").count() <= 0.01 * good.count()
+
+
+LICENCES = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not LICENCES.is_dir(), reason="no natural texts on this machine")
+def test_natural_texts_stay(docs):
+    texts = [p.read_text() for p in sorted(LICENCES.iterdir()) if p.is_file()]
+    assert len(texts) > 5 and all(r.kept for r in judged(docs, texts))
+
+
+def test_prose_with_frequent_words_stays_whatever_its_length(docs):
+    rng = random.Random(4)
+    vocabulary = prose(20_000, 9).split()
+    weights = [1 / (i + 1) ** 0.8 for i in range(len(vocabulary))]
+    rows = judged(docs, [" ".join(rng.choices(vocabulary, weights, k=n)) for n in (400, 3000, 12_000, 300_000)])
+    assert all(r.whole_ratio < 0.39 for r in rows[1:]) and all(r.kept for r in rows)
+
+
+def test_symbols_reject_by_themselves(docs):
+    words = prose(600).split()
+    few, many = " ".join(f"{w}#" if i % 5 == 0 else w for i, w in enumerate(words)), " ".join(f"{w} |" for w in words)
+    few, many = judged(docs, [few, many])
+    assert few.kept and not many.kept and not many.base_failed

@@ -28,26 +28,28 @@ class Bands:
     """
 
     level: int = 3
-    # Prose in four European languages lies at least 0.008 inside of these limits.
+    # The least ratios are for clearly repetitive texts: natural English of a few KB up to 35 KB lies at least 0.08 above them.
     whole: tuple[tuple[int, float, float], ...] = (
-        (256, 0.500, 0.95),
-        (512, 0.490, 0.85),
-        (1024, 0.480, 0.78),
-        (2048, 0.465, 0.72),
-        (4096, 0.440, 0.68),
-        (8192, 0.418, 0.66),
-        (16384, 0.405, 0.65),
-        (32768, 0.394, 0.64),
-        (1 << 62, 0.375, 0.63),
+        (256, 0.40, 0.95),
+        (512, 0.38, 0.85),
+        (1024, 0.36, 0.78),
+        (2048, 0.33, 0.72),
+        (4096, 0.30, 0.68),
+        (8192, 0.27, 0.66),
+        (16384, 0.25, 0.65),
+        (32768, 0.23, 0.64),
+        (1 << 20, 0.20, 0.63),
+        (1 << 62, 0.15, 0.63),
     )
-    chunk: tuple[int, float, float] = (2048, 0.450, 0.66)
+    chunk: tuple[int, float, float] = (2048, 0.33, 0.66)
     bad_share: float = 0.25
 
 
 #: Words that a text must have at least, and the percentage of them that may be repeated.
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
 
-SYMBOLS = b"#*$%&|<>"
+#: Symbols, and how many of them to a hundred words a text may have.
+SYMBOLS, SYMBOL_PERCENT = b"#*$%&|<>", 25
 
 COLUMNS = [
     *(T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
@@ -97,8 +99,9 @@ class Judge:
         size, low, high = self.bands.chunk
         chunks = [text[i : i + size] for i in range(0, len(text) - size + 1, size)]
         bad = sum(not low <= self.ratio(x) <= high for x in chunks)
-        kept = not failed and least <= whole <= most and bad <= self.bands.bad_share * len(chunks)
         symbols = sum(text.count(c) for c in SYMBOLS)
+        plain = not failed and 100 * symbols <= SYMBOL_PERCENT * len(words)
+        kept = plain and least <= whole <= most and bad <= self.bands.bad_share * len(chunks)
         chars = len(b"".join(words).decode())
         return len(words), chars, symbols, duplicate_lines(text), n_repeat, failed, whole, len(chunks), bad, kept
 
