@@ -103,3 +103,13 @@ def test_symbols_reject_by_themselves(docs):
     few, many = " ".join(f"{w}#" if i % 5 == 0 else w for i, w in enumerate(words)), " ".join(f"{w} |" for w in words)
     few, many = judged(docs, [few, many])
     assert few.kept and not many.kept and not many.base_failed
+
+
+def test_the_end_of_a_text_is_judged_too(docs):
+    start = prose(900)[:2048]
+    end = prose(900, 3)[:1500]
+    junk = " ".join(f"number {i} {i}" for i in range(1000))[:2047]
+    fine, bad, short, exact = judged(docs, [start + end, start + junk, start[:2047], start])
+    assert (fine.n_chunks, fine.n_bad_chunks, fine.kept) == (2, 0, True)
+    assert (bad.n_chunks, bad.n_bad_chunks, bad.kept) == (2, 1, False) and not bad.base_failed
+    assert (short.n_chunks, exact.n_chunks) == (0, 1)

@@ -23,7 +23,8 @@ class Bands:
     """Limits of compressed size over size, for zstandard's level.
 
     whole: for texts of up to so many bytes, the least and the highest ratio.
-    chunk: bytes of a chunk, and its limits; a rest shorter than a chunk isn't judged.
+    chunk: bytes of a chunk, and its limits; the last one ends with the text and may overlap the one before. A text
+    shorter than a chunk has none: its whole is judged.
     bad_share: a text goes if more than this share of its chunks is out of the limits.
     """
 
@@ -97,7 +98,10 @@ class Judge:
         whole = self.ratio(text)
         _, least, most = self.bands.whole[bisect_left(self.sizes, len(text))]
         size, low, high = self.bands.chunk
-        chunks = [text[i : i + size] for i in range(0, len(text) - size + 1, size)]
+        starts = [*range(0, len(text) - size + 1, size)]
+        if starts and len(text) % size:
+            starts.append(len(text) - size)
+        chunks = [text[i : i + size] for i in starts]
         bad = sum(not low <= self.ratio(x) <= high for x in chunks)
         symbols = sum(text.count(c) for c in SYMBOLS)
         plain = not failed and 100 * symbols <= SYMBOL_PERCENT * len(words)
