@@ -18,6 +18,9 @@ ORACLE_SQL = None
 #: Share of two documents' shingles, in percent, from which one is a near copy of the other.
 NEAR_PERCENT = 80
 
+#: Column with the number of a row while its near copies are looked for.
+ROW = "__row"
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score as toxic."""
@@ -31,10 +34,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, once; those without an id stay."""
-    kept = near_dedup.groups(docs, percent=NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    single = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near copies: the one with the smallest id, of these the one with the smallest text.
+
+    Texts are grouped, not ids: texts of one id that aren't near copies all stay. Rows without an id come after those
+    with one. Texts without a word are nobody's copies and stay. Rows that are equal in id and text go by their other columns.
+    """
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    placed = near_dedup.groups(rows, ROW, percent=NEAR_PERCENT).select(ROW, "component_id")
+    nodes = materialize(rows.select(ROW, "doc_id").join(placed, ROW), "nodes")
+    first = nodes.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    # without an id in the whole component, least is null
+    candidates = nodes.join(first, "component_id").where(F.col("doc_id").eqNullSafe(F.col("least"))).select(ROW, "component_id")
+    record = F.struct("text", *(c for c in docs.columns if c != "text"))
+    kept = rows.join(candidates, ROW).groupBy("component_id").agg(F.min(record).alias("record"))
+    return kept.select("record.*").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

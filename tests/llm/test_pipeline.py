@@ -89,3 +89,16 @@ def test_near_copies_from_80_percent_go(spark):
     rows = [(1, cut(0)), (2, cut(9)), (3, cut(11))]  # 0.829 and 0.794 of the union with the first
     docs = spark.createDataFrame([(i, t, "en", "planted", 1) for i, t in rows], schema)
     assert ids(corpus_pipeline.near_dedup_stage(spark, docs, SMALL)) == [1, 3]
+
+
+def test_near_dedup_decides_by_texts(spark):
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    near_a = a + " more"  # sorts after a
+    rows = [(5, b, "en"), (5, near_a, "en"), (5, a, "en"), (3, b, "fr"), (3, b, "de"), (9, a, "en"), (None, c, "en"), (None, c, "en"), (None, b, "en"), (7, None, "en"), (None, "", "en")]
+    kept = [(3, b, "de"), (5, a, "en"), (7, None, "en"), (None, "", "en"), (None, c, "en")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, x, "planted", 1) for i, t, x in order], schema).repartition(3)
+        out = corpus_pipeline.near_dedup_stage(spark, docs, SMALL)
+        assert out.columns == COLUMNS
+        assert sorted(((r.doc_id, r.text, r.lang) for r in out.collect()), key=str) == sorted(kept, key=str)
