@@ -58,3 +58,30 @@ def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     for r in queries.op4_license_scan(spark, SMALL).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
+
+
+def test_candidates_miss_no_place():
+    rng = random.Random(8)
+    index = ls.Index((*ls.PHRASES, *ls.NOTICES))
+    found = 0
+    for _ in range(600):
+        t = rng.randrange(len(index.words))
+        own = list(index.words[t])
+        for p in rng.sample(range(len(own)), min(len(own), rng.randint(0, 3))):
+            own[p] = b"other"
+        text = [b"some"] * rng.randint(0, 3) + own + [b"more"]
+        expected = set()
+        for u, words in enumerate(index.words):
+            total = sum(index.idf[w] for w in words)
+            for at in range(len(text)):
+                window = text[at : at + len(words)]
+                same = sum(index.idf[w] for w, x in zip(words, window, strict=False) if w == x)
+                if index.templates[u].exact:
+                    ok = window == words
+                else:
+                    ok = same / total >= ls.LEAST_SCORE and all(ls._find(window, p) for p in index.phrases[u])
+                if ok:
+                    expected.add((u, at))
+        assert {(u, at) for u, at, _ in index.places(text)} == expected
+        found += len(expected)
+    assert found > 300

@@ -1,9 +1,9 @@
 """Licence notices by a positional index of rare words.
 
 The index holds, for the highest-IDF words of each template, the templates and
-positions they stand at. A text's occurrences of such words vote for the place at
-which a template would start; a place with votes from all but one of the template's
-rare words is compared word by word, and must hold the template's key phrases.
+positions they stand at: as many as a text can't lack all of and still reach the
+least score. Each of a text's occurrences of such words gives a place at which a
+template may start; it is compared word by word, and must hold the key phrases.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from pyspark.sql import types as T
 
 from zonewright.llm.common import map_texts
 
-#: Rare words that the index holds of each template.
-RARE_WORDS = 4
-
 #: Share of a template's IDF that a text must have at the right places.
 LEAST_SCORE = 0.8
 
@@ -105,20 +102,22 @@ class Index:
         having = Counter(w for x in self.words for w in set(x))
         self.idf = {w: math.log(1 + len(templates) / n) for w, n in having.items()}
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.votes: list[int] = []
         for t, own in enumerate(self.words):
-            rare = sorted(range(len(own)), key=lambda p, own=own: (-self.idf[own[p]], p))[:RARE_WORDS]
-            for p in rare:
+            total = rest = sum(self.idf[w] for w in own)
+            # of equally rare words the longer ones, which fewer texts hold by chance
+            for p in sorted(range(len(own)), key=lambda p, own=own: (-self.idf[own[p]], -len(own[p]), p)):
                 self.postings[own[p]].append((t, p))
-            self.votes.append(len(rare) - (not templates[t].exact))
+                rest -= self.idf[own[p]]
+                if rest < (LEAST_SCORE - 1e-9) * total:
+                    break
 
     def places(self, text: list[bytes]) -> list[tuple[int, int, float]]:
         """All (template, first word, score) of a text's words, a score of 1 being the same words."""
         postings = self.postings
-        votes = Counter((t, i - p) for i, w in enumerate(text) if w in postings for t, p in postings[w])
+        found = dict.fromkeys((t, i - p) for i, w in enumerate(text) if w in postings for t, p in postings[w])
         out = []
-        for (t, at), n in votes.items():
-            if n < self.votes[t] or at < 0:
+        for t, at in found:
+            if at < 0:
                 continue
             own = self.words[t]
             window = text[at : at + len(own)]
