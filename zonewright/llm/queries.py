@@ -23,7 +23,7 @@ from zonewright.llm import (
     url_filter,
     vector_codes,
 )
-from zonewright.session import scratch_path
+from zonewright.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -197,7 +197,7 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Code and error of every vector, the error of its label, and a digest of the codebooks."""
     vectors = table(spark, folder, "embeddings")
     books = vector_codes.fit(vectors)
-    encoded = vector_codes.encode(vectors, books, ["vec_id", "label"])
+    encoded = materialize(vector_codes.encode(vectors, books, ["vec_id", "label"]), "codes")  # read twice
     coded = vector_codes.group_errors(encoded, "label", total="label_error")
     code = F.lower(F.hex("code")).alias("code")
     return coded.select("vec_id", code, "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))

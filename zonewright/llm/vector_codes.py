@@ -31,7 +31,7 @@ SCALE = 256
 N_PARTS, N_ENTRIES, N_ROUNDS = 16, 64, 2
 
 #: Vectors whose distances to all entries a task holds at once.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 1024
 
 
 @dataclass(frozen=True)
@@ -88,24 +88,35 @@ def walsh_hadamard(parts: np.ndarray) -> np.ndarray:
 def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of each part's nearest entry, the lower one of equally near, and the squared distance times D.
 
-    Both come transformed. An entry stays as long as its sum so far doesn't pass the whole
-    distance of the entry with the least first difference; one that ties with it stays.
+    Both come transformed. The first half of the coefficients is added up for all entries. An entry then stays as long
+    as its sum so far doesn't pass the whole distance of the entry that is nearest by then; one that ties with it stays.
     """
-    so_far = (parts[:, :1] - entries[None, :, 0]) ** 2
+    size = parts.shape[1]
+    largest = int(max(np.abs(parts).max(initial=0), np.abs(entries).max(initial=0)))
+    if 4 * size * largest * largest < 1 << 31:  # sums of size squares of differences up to twice the largest
+        parts, entries = parts.astype(np.int32), entries.astype(np.int32)
+    columns = np.ascontiguousarray(entries.T)
+    looked = max(1, size // 2)
+    so_far = np.zeros((len(parts), len(entries)), parts.dtype)
+    for i in range(looked):
+        difference = parts[:, i, None] - columns[i]
+        difference *= difference
+        so_far += difference
     good = so_far.argmin(1)
-    bound = ((parts - entries[good]) ** 2).sum(1)
-    row, entry = np.nonzero(so_far <= bound[:, None])
+    bound = ((parts - entries[good]) ** 2).sum(1, dtype=parts.dtype)
+    row, entry = np.divmod(np.flatnonzero(so_far <= bound[:, None]), len(entries))
     so_far = so_far[row, entry]
-    for i in range(1, parts.shape[1]):
-        so_far += (parts[row, i] - entries[entry, i]) ** 2
-        stays = np.flatnonzero(so_far <= bound[row])
+    for i in range(looked, size):
+        difference = parts[row, i] - columns[i][entry]
+        so_far += difference * difference
+        stays = so_far <= bound[row]
         row, entry, so_far = row[stays], entry[stays], so_far[stays]
     # what is left is ordered by row, then entry, and each row has the good entry at least
     begins = np.flatnonzero(np.diff(row, prepend=-1))
     least = np.minimum.reduceat(so_far, begins) if len(begins) else so_far
     at_least = np.flatnonzero(so_far == least[row])
     first = at_least[np.flatnonzero(np.diff(row[at_least], prepend=-1))]
-    return entry[first], least
+    return entry[first], least.astype(np.int64)
 
 
 def _integers(column: pa.Array, size: int, n_parts: int, width: int) -> np.ndarray:
