@@ -1,8 +1,11 @@
 """URL parts and rules against plain Python; the model on hosts it wasn't trained on."""
 
+import zlib
+
 import pytest
+from pyspark.sql import functions as F
 
-from tests.conftest import SMALL
+from tests.conftest import MEDIUM, SMALL
 from zonewright.llm import queries, url_filter
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -57,6 +60,32 @@ def test_unseen_hosts(spark, model):
     assert right >= 0.9 * len(urls)
 
 
+def test_held_out_names(spark):
+    names = url_filter.labelled_names()
+    held = {n for n, _ in names if zlib.crc32(n.encode()) % 4 == 0}
+    model = url_filter.train(url_filter.labelled_urls(spark, [x for x in names if x[0] not in held]))
+    rows = url_filter.labelled_urls(spark, [x for x in names if x[0] in held]).collect()
+    df = spark.createDataFrame([(i, r.url) for i, r in enumerate(rows)], "page_id long, url string")
+    verdicts = {r.page_id: r.verdict == "block" for r in url_filter.judge(df, model, (), "page_id").collect()}
+    right = sum(verdicts[i] and r.label == 1 for i, r in enumerate(rows))
+    assert right >= 0.9 * sum(verdicts.values()) and right >= 0.9 * sum(r.label == 1 for r in rows)
+
+
+def test_plain_sites_and_plain_bad_ones(spark, model):
+    bad = "pornhub pokerstars warez gambling-site cialis-discount casinobonus cheap-viagra".split()
+    good = "betsyross palletsprojects click.palletsprojects wikipedia github stackoverflow kernel essexcouncil loanwords arxiv".split()
+    df = spark.createDataFrame([(i, f"https://{n}.org/") for i, n in enumerate(bad + good)], "page_id long, url string")
+    verdicts = [r.verdict for r in url_filter.judge(df, model, (), "page_id").orderBy("page_id").collect()]
+    assert verdicts == ["block"] * len(bad) + ["allow"] * len(good)
+
+
+def test_the_training_table_has_no_name_of_the_pages(spark):
+    hosts = [r.host for r in spark.read.parquet(f"{MEDIUM}/pages.parquet").select(url_filter.host_and_path(F.col("url"))[0].alias("host")).distinct().collect()]
+    parts = {p for h in hosts for p in h.split(".")}
+    assert not parts & {n for n, _ in url_filter.labelled_names() if n not in url_filter.ALLOWED + url_filter.BLOCKED}
+    assert not parts & set(url_filter.BLOCKED)
+
+
 def test_an_empty_table(spark, model):
     df = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(df, model, queries.URL_RULES, "page_id").count() == 0
