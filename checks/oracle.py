@@ -384,6 +384,20 @@ DELIVERY_COLUMNS = """
 
 STOP_NUMBER = "row_number() OVER (PARTITION BY route_id ORDER BY order_id) AS stop_number"
 
+ZONE_LOOKUP = _with(
+    BASE,
+    MART_H3,
+    ZONE_MAP,
+    LOOKUP,
+    select="""
+    SELECT h3_cell_9, dominant_district, avg_delay_minutes, total_margin_gap_usd,
+           total_deliveries, failure_rate_pct, status, avg_delay_minutes > 15 AS is_slow,
+           CASE WHEN total_margin_gap_usd > 0 THEN 'Loss' ELSE 'Profit' END AS gap_class,
+           failure_rate_pct > 10 AS fails_often
+    FROM zone_map JOIN picked USING (h3_cell_9)
+    """,
+)
+
 ORACLE: dict[str, str] = {
     "src_dimension_profile": _with(
         DISTRICTS,
@@ -508,6 +522,48 @@ ORACLE: dict[str, str] = {
     "mart_kpis": _with(BASE, MART_KPIS, select="SELECT * FROM mart_kpis"),
     "mart_district": _with(BASE, MART_DISTRICT, select="SELECT * FROM mart_district"),
     "mart_h3": _with(BASE, MART_H3, select="SELECT * FROM mart_h3"),
+    # The parent is the coarse centre among a cell and its six neighbours.
+    "mart_h3_levels": _with(
+        BASE,
+        """
+        placed AS (
+            SELECT *, split_part(h3_cell_9, '_', 1)::bigint AS q0, split_part(h3_cell_9, '_', 2)::bigint AS r0 FROM metrics),
+        around(a, b) AS (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)),
+        first_level AS (
+            SELECT p.*, (3 * (q0 + a) + r0 + b) // 7 AS q1, (2 * (r0 + b) - q0 - a) // 7 AS r1
+            FROM placed p JOIN around ON (3 * (q0 + a) + r0 + b) % 7 = 0),
+        second_level AS (
+            SELECT p.*, (3 * (q1 + a) + r1 + b) // 7 AS q2, (2 * (r1 + b) - q1 - a) // 7 AS r2
+            FROM first_level p JOIN around ON (3 * (q1 + a) + r1 + b) % 7 = 0),
+        leveled AS (
+            SELECT 0 AS level, q0 || '_' || r0 AS cell, q0 AS mq, r0 AS mr, * FROM second_level
+            UNION ALL
+            SELECT 1, q1 || '_' || r1, 2 * q1 - r1, q1 + 3 * r1, * FROM second_level
+            UNION ALL
+            SELECT 2, q2 || '_' || r2, 2 * (2 * q2 - r2) - (q2 + 3 * r2), (2 * q2 - r2) + 3 * (q2 + 3 * r2), * FROM second_level),
+        modes AS (
+            SELECT level, cell,
+                   (SELECT x FROM (SELECT unnest(list(traffic_zone)) AS x) WHERE x IS NOT NULL
+                    GROUP BY x ORDER BY count(*) DESC, x LIMIT 1) AS dominant_traffic_zone,
+                   (SELECT x FROM (SELECT unnest(list(destination_district)) AS x) WHERE x IS NOT NULL
+                    GROUP BY x ORDER BY count(*) DESC, x LIMIT 1) AS dominant_district
+            FROM leveled GROUP BY level, cell)
+        """,
+        select="""
+        SELECT level, cell, count(DISTINCT h3_cell_9) AS finest_cells,
+               r(any_value(0.20132061220131367 * 1.5 * mr / 111.19492664455873), 6) AS centre_lat,
+               r(any_value(0.20132061220131367 * sqrt(3.0) * (mq + mr / 2.0::double) / 109.23625344213714), 6) AS centre_lon,
+               count(*) AS total_deliveries, r(avg(delay_minutes), 1) AS avg_delay_minutes,
+               r(sum(delay_cost_usd::decimal(18,9)), 2) AS total_delay_cost_usd,
+               r(sum(margin_gap_usd::decimal(18,9)), 2) AS total_margin_gap_usd,
+               r(sum(margin_gap_usd::decimal(18,9))::double / count(margin_gap_usd), 2) AS avg_margin_gap_usd,
+               r(100::double * sum(failed) / count(*), 1) AS failure_rate_pct,
+               r(100::double * sum(hem) / count(*), 1) AS hem_access_pct,
+               count(DISTINCT driver_id) AS unique_drivers, sum(delay_minutes - 15) > 0 AS is_hotspot,
+               any_value(dominant_traffic_zone) AS dominant_traffic_zone, any_value(dominant_district) AS dominant_district
+        FROM leveled JOIN modes USING (level, cell) GROUP BY level, cell
+        """,
+    ),
     "mart_grid": _with(
         BASE,
         ZONES,
@@ -665,6 +721,35 @@ ORACLE: dict[str, str] = {
         GROUP BY method
         """,
     ),
+    # A cell is inside if an odd number of sides lies east of its centre.
+    "hex_cover": _with(
+        BASE,
+        CITY,
+        LATTICE,
+        """
+        boxes AS (
+            SELECT destination_district AS district, min(destination_lat) AS s, min(destination_lon) AS w,
+                   max(destination_lat) AS n, max(destination_lon) AS e
+            FROM metrics
+            WHERE destination_district IS NOT NULL AND destination_lat BETWEEN 10.63::double AND 10.91::double
+                AND destination_lon BETWEEN 106.56::double AND 106.81::double
+            GROUP BY destination_district),
+        sides AS (
+            SELECT district, s + (n - s) * up1 AS lat1, w + (e - w) * right1 AS lon1,
+                   s + (n - s) * up2 AS lat2, w + (e - w) * right2 AS lon2
+            FROM boxes, (VALUES
+                (0.0, 0.0, 0.0, 1.0), (0.0, 1.0, 1.0, 1.0), (1.0, 1.0, 0.5, 0.5), (0.5, 0.5, 1.0, 0.0), (1.0, 0.0, 0.0, 0.0),
+                (0.125, 0.5, 0.25, 0.625), (0.25, 0.625, 0.375, 0.5), (0.375, 0.5, 0.25, 0.375), (0.25, 0.375, 0.125, 0.5)
+            ) shape(up1, right1, up2, right2))
+        """,
+        select="""
+        SELECT district, h3_cell_9, q, r_step AS r, r(centre_lat, 6) AS centre_lat, r(centre_lon, 6) AS centre_lon
+        FROM lattice, sides
+        WHERE (lat1 > centre_lat) <> (lat2 > centre_lat)
+            AND centre_lon < lon1 + (centre_lat - lat1) / (lat2 - lat1) * (lon2 - lon1)
+        GROUP BY ALL HAVING count(*) % 2 = 1
+        """,
+    ),
     "hex_lattice": _with(
         BASE,
         """
@@ -776,19 +861,8 @@ ORACLE: dict[str, str] = {
         FROM zone_map
         """,
     ),
-    "feed_zone_lookup": _with(
-        BASE,
-        MART_H3,
-        ZONE_MAP,
-        LOOKUP,
-        select="""
-        SELECT h3_cell_9, dominant_district, avg_delay_minutes, total_margin_gap_usd,
-               total_deliveries, failure_rate_pct, status, avg_delay_minutes > 15 AS is_slow,
-               CASE WHEN total_margin_gap_usd > 0 THEN 'Loss' ELSE 'Profit' END AS gap_class,
-               failure_rate_pct > 10 AS fails_often
-        FROM zone_map JOIN picked USING (h3_cell_9)
-        """,
-    ),
+    "feed_zone_lookup": ZONE_LOOKUP,
+    "stored_zone_lookup": ZONE_LOOKUP,
     "example_first_id": "SELECT c_custkey AS id FROM customer WHERE c_custkey = 1",
     "example_null_id": "SELECT c_custkey AS id FROM customer UNION ALL SELECT NULL",
     "dq_unique": _dq(
@@ -797,16 +871,39 @@ ORACLE: dict[str, str] = {
         " GROUP BY {column} HAVING count(*) > 1)",
     ),
     "dq_not_null": _dq("not_null", "SELECT count(*) FROM {source} WHERE {column} IS NULL"),
+    # Carried numbers and arrivals with the same faults planted, looked at with plain windows over routes.
     "dq_route_sequence": _with(
         BASE,
-        f"numbered AS (SELECT *, {STOP_NUMBER} FROM deliveries)",
+        f"""
+        numbered AS (
+            SELECT route_id, k, o_orderdate, (30 + h % 371) * 8 // 100 + 2 AS minutes,
+                   row_number() OVER (PARTITION BY route_id ORDER BY k) AS place,
+                   max(o_orderdate) OVER (PARTITION BY route_id) + INTERVAL 2 HOUR AS planned_dispatch
+            FROM (SELECT *, 'RT_' || strftime(date_trunc('month', o_orderdate), '%Y%m%d') || '_' || driver_id AS route_id FROM located)),
+        carried AS (
+            SELECT route_id, k, o_orderdate,
+                   CASE WHEN k % 97 = 5 THEN NULL WHEN k % 89 = 3 THEN place + 1 ELSE place END AS stop_number,
+                   planned_dispatch - if(k % 101 = 9, INTERVAL 3 DAY, INTERVAL 0 DAY) AS dispatched_at,
+                   planned_dispatch + to_minutes(sum(minutes) OVER (PARTITION BY route_id ORDER BY k)::bigint)
+                       - CASE WHEN k % 83 = 7 THEN INTERVAL 40 DAY WHEN k % 79 = 11 THEN INTERVAL 45 MINUTE
+                              ELSE INTERVAL 0 DAY END AS estimated_arrival_at
+            FROM numbered),
+        looked AS (
+            SELECT *, lag(stop_number) OVER stops AS number_before, lag(estimated_arrival_at) OVER stops AS arrival_before,
+                   max(o_orderdate) OVER (PARTITION BY route_id) AS last_order
+            FROM carried WINDOW stops AS (PARTITION BY route_id ORDER BY stop_number NULLS FIRST, k))
+        """,
         select="""
         SELECT route_id, count(*) AS stops,
-               max(stop_number) - count(DISTINCT stop_number) AS missing_numbers,
+               coalesce(max(stop_number) - count(DISTINCT stop_number), 0) AS missing_numbers,
                (count(stop_number) - count(DISTINCT stop_number))::bigint AS doubled_numbers,
                count(*) FILTER (WHERE stop_number IS NULL) AS without_number,
-               count(*) FILTER (WHERE estimated_arrival_at < dispatched_at) AS early_arrivals
-        FROM numbered GROUP BY route_id
+               count(*) FILTER (WHERE estimated_arrival_at < dispatched_at) AS early_arrivals,
+               count(*) FILTER (WHERE stop_number IS NOT NULL AND (number_before IS NULL OR stop_number - number_before > 1)) AS islands,
+               count(*) FILTER (WHERE stop_number IS NOT NULL AND number_before IS NOT NULL AND estimated_arrival_at < arrival_before)
+                   AS backward_arrivals,
+               count(*) FILTER (WHERE dispatched_at < last_order) AS early_dispatches
+        FROM looked GROUP BY route_id
         """,
     ),
     "dq_payment_reconciles": _with(

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewright.functions.numeric import pct, round_half_away
-from zonewright.operators import quality, spatial, zones
+from zonewright.operators import cover, quality, spatial, zones
 from zonewright.plans import comparison, feeds, index_cost, marts, metrics, refresh, routes, staging
 from zonewright.session import materialize, scratch_path, scratch_run
-from zonewright.sources import readers, schemas
-from zonewright.sources.sinks import ensure_database, literal_rows, row_counts, write_json_arrays
+from zonewright.sources import readers, schemas, snapshots
+from zonewright.sources.json_arrays import write_json_arrays
+from zonewright.sources.sinks import ensure_database, literal_rows, row_counts
 from zonewright.sources.testtables import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +194,11 @@ def mart_h3(t: TestTables) -> DataFrame:
     return marts.h3(delivery_metrics(t))
 
 
+@query
+def mart_h3_levels(t: TestTables) -> DataFrame:
+    return marts.h3_levels(delivery_metrics(t))
+
+
 @query
 def mart_grid(t: TestTables) -> DataFrame:
     return marts.grid(delivery_metrics(t))
@@ -238,10 +244,9 @@ def stored(t: TestTables) -> str:
             getattr(t, dimension)().write.option("header", True).csv(f"{folder}/{dimension}")
             raw[f"raw_{dimension}"] = readers.read_csv(spark, f"{folder}/{dimension}", schema)
         documents = t.order_documents().drop(*staging.ITEM_TOTALS)
-        arrays = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        write_json_arrays(documents, f"{folder}/orders", "order_id", arrays)
+        write_json_arrays(documents, f"{folder}/orders")
         raw["raw_orders"] = readers.read_json_array(spark, f"{folder}/orders/*", schemas.ORDERS)
-        write_json_arrays(t.delivery_telemetry(), f"{folder}/telemetry", "order_id", arrays)
+        write_json_arrays(t.delivery_telemetry(), f"{folder}/telemetry")
         readers.json_array_to_ndjson(
             spark, f"{folder}/telemetry/*", f"{folder}/deliveries", schemas.DELIVERY_TELEMETRY, spatial.with_cells
         )
@@ -263,6 +268,12 @@ def stored_mart_kpis(t: TestTables) -> DataFrame:
     return readers.read_mart(t.spark, stored(t), "mart_kpis")
 
 
+@query
+def stored_zone_lookup(t: TestTables) -> DataFrame:
+    """The zone of a point, from the one folder of the stored mart that holds it."""
+    return feeds.stored_zone_lookup(snapshots.table(t.spark, stored(t), "mart_h3"), *LOOKUP_POINT)
+
+
 @query
 def stored_tables(t: TestTables) -> DataFrame:
     """The tables of the stored route with their rows, and the declared ones that are missing."""
@@ -368,6 +379,41 @@ def hex_lattice(t: TestTables) -> DataFrame:
     return rounded(spatial.hex_lattice(box), centre_lat=6, centre_lon=6)
 
 
+def district_areas(t: TestTables) -> DataFrame:
+    """An outline per district around its deliveries inside the city box: notched from the north, with a hole in the south."""
+    south, west, north, east = spatial.CITY_BOX
+    inside = F.col("destination_lat").between(south, north) & F.col("destination_lon").between(west, east)
+    box = delivery_metrics(t).where(inside & F.col("destination_district").isNotNull())
+    box = box.groupBy("destination_district").agg(
+        F.min("destination_lat").alias("s"),
+        F.min("destination_lon").alias("w"),
+        F.max("destination_lat").alias("n"),
+        F.max("destination_lon").alias("e"),
+    )
+    # (ring, place, lat and lon as shares of the box's height and width)
+    outline = [(0, 0, 0.0, 0.0), (0, 1, 0.0, 1.0), (0, 2, 1.0, 1.0), (0, 3, 0.5, 0.5), (0, 4, 1.0, 0.0)]
+    hole = [(1, 0, 0.125, 0.5), (1, 1, 0.25, 0.625), (1, 2, 0.375, 0.5), (1, 3, 0.25, 0.375)]
+    vertices = F.array(
+        *[
+            F.struct(
+                F.lit(ring).alias("ring"),
+                F.lit(place).alias("place"),
+                (F.col("s") + (F.col("n") - F.col("s")) * up).alias("lat"),
+                (F.col("w") + (F.col("e") - F.col("w")) * right).alias("lon"),
+            )
+            for ring, place, up, right in outline + hole
+        ]
+    )
+    return box.select(F.col("destination_district").alias("polygon"), F.explode(vertices).alias("v")).select("polygon", "v.*")
+
+
+@query
+def hex_cover(t: TestTables) -> DataFrame:
+    """The hexagons of each district's area."""
+    covered = cover.hex_cover(district_areas(t)).withColumnRenamed("polygon", "district")
+    return rounded(covered, centre_lat=6, centre_lon=6)
+
+
 # -- feeds --------------------------------------------------------------------
 
 
@@ -473,7 +519,10 @@ def dq_not_null(t: TestTables) -> DataFrame:
 
 @query
 def dq_route_sequence(t: TestTables) -> DataFrame:
-    return quality.route_sequence(deliveries(t, stop_numbers=True))
+    """Faults in the stop numbers, arrivals and dispatches that telemetry carries, per route."""
+    carried = materialize(t.carried_telemetry(), "carried")
+    continuity = quality.route_continuity(carried)
+    return quality.route_sequence(carried).join(continuity, "route_id")
 
 
 @query

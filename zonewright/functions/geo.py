@@ -115,3 +115,28 @@ def hex_centre(
     x = HEX_SIDE_KM * math.sqrt(3.0) * (q + r / 2.0)
     y = HEX_SIDE_KM * 1.5 * r
     return y / KM_PER_DEG_LAT, x / km_per_degree_lon(reference_lat)
+
+
+# -- coarser hexagons -----------------------------------------------------------
+#
+# The centres of a seventh of the cells are themselves a hexagon lattice, turned
+# by 19 degrees and wider by the square root of 7: its axes are the steps (2, 1)
+# and (-1, 3). Each coarse cell is one of them with its six neighbours.
+
+CHILDREN = 7
+
+
+def _nearest_seventh(x: Column) -> Column:
+    """x / 7 rounded to the nearest integer; seven is odd, so nothing lies half way."""
+    shifted = x + CHILDREN // 2
+    return ((shifted - F.pmod(shifted, F.lit(CHILDREN))) / CHILDREN).cast("bigint")
+
+
+def hex_parent(q: Column, r: Column) -> tuple[Column, Column]:
+    """Coordinates, in the coarser lattice, of the cell whose centre is nearest."""
+    return _nearest_seventh(3 * q + r), _nearest_seventh(2 * r - q)
+
+
+def hex_middle_child(q: Column, r: Column) -> tuple[Column, Column]:
+    """The finer cell that has the same centre."""
+    return 2 * q - r, q + 3 * r

@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,9)"
 
 
+# Sums of zones or fleets have no such bound: this holds them up to 1e29.
+MONEY_TOTAL = "decimal(38,9)"
+
+
 def money(x: Column) -> Column:
-    """An amount as it goes into a sum."""
+    """The amount of one delivery as it goes into a sum."""
     return x.cast(MONEY)
 
 
+def money_total(x: Column) -> Column:
+    """What is a sum already, as it goes into another one."""
+    return x.cast(MONEY_TOTAL)
+
+
 def round_half_away(x: Column, places: int) -> Column:
     """Round half away from zero on the scaled binary value.
 

@@ -10,6 +10,39 @@ from pyspark.sql import functions as F
 from zonewright.session import materialize
 
 
+def cut_into_ranges(df: DataFrame, group: str, order: list, parts: int | None = None) -> DataFrame:
+    """Rows with ``_group`` and ``_range``, cut into ranges of (group, order) with about as many rows each, and stored.
+
+    Storing fixes the cut. A group of any size has as many ranges as its rows need.
+    NULL as a group is one of its own: ``_group`` marks what is there, as NULL would not join.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    cut = df.withColumn("_group", marked).repartitionByRange(parts, "_group", *order)
+    return materialize(cut.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def with_previous(df: DataFrame, group: str, order: str, tie: str, values: list[str], parts: int | None = None) -> DataFrame:
+    """Adds ``previous``, a struct of what the row before in the group has in ``values``; NULL for the first one.
+
+    Rows without an ``order`` come first; ``tie`` orders equal ones and should be unique in the group. A plain window would sort a whole group
+    in one task. Here each range of rows looks back within itself, and only its first
+    row of a group needs the last one of an earlier range: those, one per group and range, are carried over.
+    """
+    by = [F.asc_nulls_first(order), F.asc_nulls_first(tie)]
+    ranged = cut_into_ranges(df, group, by, parts)
+    value = F.struct(*values)
+    place = F.struct(F.col(order), F.col(tie))
+    last = ranged.groupBy("_group", "_range").agg(F.max_by(value, place).alias("_last"))
+    # structs compare NULL as smallest, as the order does
+    earlier = Window.partitionBy("_group").orderBy("_range")
+    carried = last.select("_group", "_range", F.lag("_last").over(earlier).alias("_carried"))
+    within = Window.partitionBy("_group", "_range").orderBy(*by)
+    looked = ranged.withColumn("_before", F.lag(value).over(within))
+    joined = looked.join(carried, ["_group", "_range"])
+    return joined.select(*df.columns, F.coalesce("_before", "_carried").alias("previous"))
+
+
 def running_totals(
     df: DataFrame,
     group: str,
@@ -35,19 +68,10 @@ def running_totals(
     well. Rows without a group form one of their own.
     """
     sums, group_max = dict(sums or {}), dict(group_max or {})
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # NULL would not join: mark what is there, and let a NULL key come first
-    marked = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
     # of the row's values, so that a task that runs again deals its rows as before
     values = F.xxhash64(*(F.col(c) for c in df.columns))
     spread = F.when(F.col(order).isNull(), values).otherwise(0)
-    cut = (
-        df.withColumns({"_group": marked, "_spread": spread})
-        .repartitionByRange(parts, "_group", F.asc_nulls_first(order), "_spread")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    ranged = materialize(cut, "ranges")
+    ranged = cut_into_ranges(df.withColumn("_spread", spread), group, [F.asc_nulls_first(order), "_spread"], parts)
 
     totals = ranged.groupBy("_group", "_range").agg(
         F.count(F.lit(1)).alias("_n"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions.numeric import round_half_away
+from zonewright.operators.prefix import with_previous
 
 
 def _result(test: str, name: str, column: str, failures) -> list:
@@ -54,6 +55,29 @@ def route_sequence(deliveries: DataFrame) -> DataFrame:
     )
 
 
+def route_continuity(deliveries: DataFrame) -> DataFrame:
+    """Per route: runs of consecutive stop numbers, stops planned before the one they follow, dispatches before the last order.
+
+    One run is a route without gaps, one that starts late included. Takes ``order_id`` and ``ordered_at`` besides what
+    telemetry has. Stops are compared in the order of their numbers, those of one number by order id;
+    stops without a number are in no run. A route may hold any share of the rows: see :func:`with_previous`.
+    """
+    stops = with_previous(deliveries, "route_id", "stop_number", "order_id", ["stop_number", "estimated_arrival_at"])
+    number, before = F.col("stop_number"), F.col("previous.stop_number")
+    backward = before.isNotNull() & (F.col("estimated_arrival_at") < F.col("previous.estimated_arrival_at"))
+    runs = stops.groupBy("route_id").agg(
+        F.count_if(number.isNotNull() & (before.isNull() | (number - before > 1))).alias("islands"),
+        F.count_if(backward).alias("backward_arrivals"),
+    )
+    # dispatch times are few per route; they meet its last order after they are counted
+    dispatches = deliveries.groupBy("route_id", "dispatched_at").agg(F.count(F.lit(1)).alias("n"), F.max("ordered_at").alias("last"))
+    last = dispatches.groupBy("route_id").agg(F.max("last").alias("last_order"))
+    late = dispatches.join(last.withColumnRenamed("route_id", "route"), F.col("route_id").eqNullSafe(F.col("route")))
+    early = late.groupBy("route_id").agg(F.sum(F.when(F.col("dispatched_at") < F.col("last_order"), F.col("n")).otherwise(0)).alias("early_dispatches"))
+    early = early.withColumnRenamed("route_id", "route")
+    return runs.join(early, F.col("route_id").eqNullSafe(F.col("route"))).drop("route")
+
+
 def payment_reconciliation(orders: DataFrame) -> DataFrame:
     """One row: orders whose payment is, and is not, goods plus freight.
 

@@ -83,6 +83,17 @@ def hex_lattice(box: DataFrame, reference_lat: float = geo.REFERENCE_LAT) -> Dat
     )
 
 
+def cell_at(spark, lat: float, lon: float, reference_lat: float = geo.REFERENCE_LAT) -> DataFrame:
+    """The row that :func:`hex_lattice` of the city box has for a point's hexagon; none if its centre is outside."""
+    south, west, north, east = CITY_BOX
+    q, r = geo.hex_axial(F.lit(lat), F.lit(lon), reference_lat)
+    centre_lat, centre_lon = geo.hex_centre(q, r, reference_lat)
+    cell = spark.range(1).select(
+        geo.hex_id(q, r).alias("h3_cell_9"), q.alias("q"), r.alias("r"), centre_lat.alias("centre_lat"), centre_lon.alias("centre_lon")
+    )
+    return cell.filter(F.col("centre_lat").between(south, north) & F.col("centre_lon").between(west, east))
+
+
 def neighbour_distances(cells: DataFrame) -> DataFrame:
     """(method, distance_km) from each (method, cell) to each of its neighbours.
 

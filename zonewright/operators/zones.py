@@ -48,17 +48,28 @@ def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[s
     first combined per (zone, value, value, ...), then one grouping-sets pass
     over that much smaller profile yields the totals and each column's counts.
     """
-    facets = [distinct, *modes]
+    return merge_state(zone_state(metrics, zone, [distinct, *modes]), [zone], [distinct], modes)
+
+
+def zone_state(metrics: DataFrame, zone: str, facets: Sequence[str]) -> DataFrame:
+    """``deliveries`` and MEASURES per zone and combination of the facets' values.
+
+    States of zones add up: what :func:`merge_state` makes of them is exact for any union of zones.
+    """
     measured = {"deliveries": f"count({zone})", **MEASURES}
-    profile = (
+    return (
         metrics.groupBy(zone, *facets)
         .agg(*[F.expr(f"{value} AS {name}") for name, value in measured.items()])
         .filter("deliveries > 0")
     )
 
-    key = F.col(zone)
-    counted = profile.groupingSets(
-        [[key], *[[key, F.col(facet)] for facet in facets]], zone, *facets
+
+def merge_state(state: DataFrame, zone: Sequence[str], distinct: Sequence[str], modes: Sequence[str]) -> DataFrame:
+    """Totals, distinct counts and modes of zones, which the columns ``zone`` identify, from their states."""
+    facets, measured = [*distinct, *modes], ["deliveries", *MEASURES]
+    key = [F.col(z) for z in zone]
+    counted = state.groupingSets(
+        [key, *[[*key, F.col(facet)] for facet in facets]], *zone, *facets
     ).agg(
         *[F.expr(f"sum({name}) AS {name}") for name in measured],
         *[F.expr(f"grouping({facet}) = 0 AS by_{facet}") for facet in facets],
@@ -66,9 +77,9 @@ def zone_profile(metrics: DataFrame, zone: str, distinct: str, modes: Sequence[s
 
     whole_zone = " AND ".join(f"NOT by_{facet}" for facet in facets)
     rank = "CASE WHEN by_{0} AND {0} IS NOT NULL THEN struct(-deliveries, {0}) END"
-    return counted.groupBy(zone).agg(
+    return counted.groupBy(*zone).agg(
         *[F.expr(f"max({name}) FILTER (WHERE {whole_zone}) AS {name}") for name in measured],
-        F.expr(f"count({distinct}) FILTER (WHERE by_{distinct}) AS n_{distinct}"),
+        *[F.expr(f"count({name}) FILTER (WHERE by_{name}) AS n_{name}") for name in distinct],
         *[F.expr(f"min_by({mode}, {rank.format(mode)}) AS mode_{mode}") for mode in modes],
     )
 

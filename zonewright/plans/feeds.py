@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewright.functions import geo, labels
-from zonewright.functions.numeric import money, ratio, round_half_away
+from zonewright.functions.numeric import money_total, ratio, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD
+from zonewright.operators import layout, spatial
 
 # Length of the hotspot list, and the delay from which a zone counts as severe.
 TOP_HOTSPOTS = 50
@@ -98,7 +99,7 @@ def recommendation(hotspot_list: DataFrame) -> DataFrame:
     gap = F.col("total_margin_gap_usd")
     return hotspot_list.agg(
         F.count(F.lit(1)).alias("n_zones"),
-        F.coalesce(round_half_away(F.sum(money(gap)), 2), F.lit(0.0)).alias("total_margin_gap_usd"),
+        F.coalesce(round_half_away(F.sum(money_total(gap)), 2), F.lit(0.0)).alias("total_margin_gap_usd"),
         F.min_by(cell, worst_first).alias("worst_cell"),
         F.min_by("district", worst_first).alias("worst_district"),
     ).select(
@@ -171,9 +172,9 @@ def zone_kpis(zone_map_feed: DataFrame) -> DataFrame:
     return zone_map_feed.agg(
         F.count_if(hot).alias("n_hotspots"),
         F.coalesce(
-            round_half_away(F.sum(F.when(hot, money(F.col("total_margin_gap_usd")))), 2), F.lit(0.0)
+            round_half_away(F.sum(F.when(hot, money_total(F.col("total_margin_gap_usd")))), 2), F.lit(0.0)
         ).alias("hotspot_gap_usd"),
-        F.coalesce(round_half_away(ratio(F.sum(money(delays)), F.count(delays)), 4), F.lit(0.0)).alias("hotspot_delay_minutes"),
+        F.coalesce(round_half_away(ratio(F.sum(money_total(delays)), F.count(delays)), 4), F.lit(0.0)).alias("hotspot_delay_minutes"),
     )
 
 
@@ -186,7 +187,21 @@ def zone_lookup(
 ) -> DataFrame:
     """The map row of the zone that holds a point; both sides are cut to it before they meet."""
     picked = F.col("h3_cell_9") == geo.hex_cell(F.lit(lat), F.lit(lon), reference_lat)
-    return zone_map(lattice.filter(picked), zones.filter(picked)).select(
+    return _zone_panel(zone_map(lattice.filter(picked), zones.filter(picked)))
+
+
+def stored_zone_lookup(
+    mart: DataFrame, lat: float, lon: float, reference_lat: float = geo.REFERENCE_LAT
+) -> DataFrame:
+    """As :func:`zone_lookup` on the city's map, from a mart that is laid out for it: one folder of it is read."""
+    cell = geo.hex_cell(F.lit(lat), F.lit(lon), reference_lat)
+    lattice = spatial.cell_at(mart.sparkSession, lat, lon, reference_lat)
+    return _zone_panel(zone_map(lattice, h3_zones(layout.lookup(mart, cell))))
+
+
+def _zone_panel(zone_map_feed: DataFrame) -> DataFrame:
+    """What is shown of a selected zone."""
+    return zone_map_feed.select(
         "h3_cell_9",
         "dominant_district",
         "avg_delay_minutes",

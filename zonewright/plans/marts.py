@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from zonewright.functions import geo
 from zonewright.functions.numeric import money, pct, ratio, round_half_away
 from zonewright.functions.rules import DELAY_THRESHOLD, is_delayed
-from zonewright.operators.zones import zone_profile
+from zonewright.operators.zones import MEASURES, merge_state, zone_profile, zone_state
 
 
 def deliveries(metrics: DataFrame) -> DataFrame:
@@ -78,11 +78,17 @@ def district(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _zones(metrics: DataFrame, zone: str, modes: list[str]) -> DataFrame:
-    profile = zone_profile(metrics, zone, "driver_id", modes)
+H3_MODES = ["traffic_zone", "destination_district"]
+
+
+def _with_mean(profile: DataFrame) -> DataFrame:
     return profile.withColumn("mean_delay", ratio(F.col("delay_sum"), F.col("timed")))
 
 
+def _zones(metrics: DataFrame, zone: str, modes: list[str]) -> DataFrame:
+    return _with_mean(zone_profile(metrics, zone, "driver_id", modes))
+
+
 def _zone_columns() -> list[Column]:
     """What both zone marts show, over a zone profile with ``mean_delay``."""
     deliveries_, mean_delay = F.col("deliveries"), F.col("mean_delay")
@@ -102,7 +108,7 @@ def _zone_columns() -> list[Column]:
 
 def h3(metrics: DataFrame) -> DataFrame:
     """Per hexagon. Sums cover all deliveries of the zone, late or not."""
-    zones = _zones(metrics, "h3_cell_9", ["traffic_zone", "destination_district"])
+    zones = _zones(metrics, "h3_cell_9", H3_MODES)
     return zones.select(
         "h3_cell_9",
         *_zone_columns(),
@@ -110,6 +116,57 @@ def h3(metrics: DataFrame) -> DataFrame:
     )
 
 
+def h3_levels(metrics: DataFrame, levels: int = 3, reference_lat: float = geo.REFERENCE_LAT) -> DataFrame:
+    """The hexagon mart on several levels at once: level 0 is :func:`h3`, a cell of each next one holds seven.
+
+    Deliveries are combined once, per finest cell; only that state is taken to every
+    level and merged there, distinct drivers and modes included, so all levels add up to
+    the same totals. ``cell`` is an id within its level, ``finest_cells`` the number of cells with deliveries that
+    it holds. A zone whose id is of another scheme has no parent: it stays itself on every level, without a centre.
+    """
+    facets = ["driver_id", *H3_MODES]
+    state = zone_state(metrics, "h3_cell_9", facets)
+    q, r = (geo.lattice_step(F.col("h3_cell_9"), i).cast("bigint") for i in (1, 2))
+    own = F.col("h3_cell_9").rlike(geo.LATTICE_ID)
+    state = state.withColumns({"q0": F.when(own, q), "r0": F.when(own, r)})
+    for level in range(1, levels):
+        parent_q, parent_r = geo.hex_parent(F.col(f"q{level - 1}"), F.col(f"r{level - 1}"))
+        state = state.withColumns({f"q{level}": parent_q, f"r{level}": parent_r})
+
+    def at(level: int) -> Column:
+        cell = F.coalesce(geo.hex_id(F.col(f"q{level}"), F.col(f"r{level}")), F.col("h3_cell_9"))
+        return F.struct(F.lit(level).alias("level"), cell.alias("cell"))
+
+    state = state.withColumn("at", F.explode(F.array(*map(at, range(levels)))))
+    state = state.select("at.level", "at.cell", "h3_cell_9", *facets, "deliveries", *MEASURES)
+    merged = _with_mean(merge_state(state, ["level", "cell"], ["driver_id", "h3_cell_9"], H3_MODES))
+    centre_lat, centre_lon = _level_centre(levels, reference_lat)
+    return merged.select(
+        "level",
+        "cell",
+        F.col("n_h3_cell_9").alias("finest_cells"),
+        round_half_away(centre_lat, 6).alias("centre_lat"),
+        round_half_away(centre_lon, 6).alias("centre_lon"),
+        *_zone_columns(),
+        F.col("mode_destination_district").alias("dominant_district"),
+    )
+
+
+def _level_centre(levels: int, reference_lat: float) -> tuple[Column, Column]:
+    """Centre of ``cell`` on its ``level``: that of the finest cell in its middle."""
+    own = F.col("cell").rlike(geo.LATTICE_ID)
+    q, r = (F.when(own, geo.lattice_step(F.col("cell"), i).cast("bigint")) for i in (1, 2))
+    centres = []
+    for level in range(levels):
+        centres.append((F.col("level") == level, geo.hex_centre(q, r, reference_lat)))
+        q, r = geo.hex_middle_child(q, r)
+
+    def pick(axis: int) -> Column:
+        return F.coalesce(*[F.when(here, centre[axis]) for here, centre in centres])
+
+    return pick(0), pick(1)
+
+
 def grid(metrics: DataFrame) -> DataFrame:
     """Per grid cell, with the centre parsed back from the cell id."""
     zones = _zones(metrics, "grid_cell_id", ["traffic_zone"])

@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from zonewright.operators import layout
+from zonewright.sources import snapshots
+from zonewright.sources.json_arrays import read_json_array
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with one header row, whose names say which column is which.
@@ -29,17 +33,6 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON array of documents, indented or not.
-
-    One file is one task, whatever its size: rewrite big arrays once with
-    :func:`json_array_to_ndjson` and read that from then on.
-    """
-    return (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    )
-
-
 def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON document per line; files split over tasks."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -68,6 +61,6 @@ def write_ndjson(
 
 
 def read_mart(spark: SparkSession, database: str, name: str, *columns: str) -> DataFrame:
-    """A mart from the given database, all columns or the named ones."""
-    table = spark.table(f"{database}.{name}")
-    return table.select(*columns) if columns else table
+    """A mart of the database's current snapshot, all columns or the named ones."""
+    table = snapshots.table(spark, database, name)
+    return table.select(*(columns or [c for c in table.columns if c not in layout.COLUMNS]))

@@ -20,19 +20,6 @@ def replace_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def write_json_arrays(documents: DataFrame, path: str, key: str, arrays: int) -> None:
-    """JSON arrays of documents, one per file, dealt by a hash of ``key``.
-
-    An array is one line of text, so ``arrays`` has to grow with the documents.
-    """
-    whole = F.to_json(F.struct(*documents.columns), {"ignoreNullFields": "false"})
-    part = F.pmod(F.xxhash64(key), F.lit(arrays)).alias("part")
-    lines = documents.select(part, whole.alias("document")).groupBy("part").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("document"), ","), F.lit("]")).alias("value")
-    )
-    lines.write.mode("overwrite").partitionBy("part").text(path)
-
-
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A typed DataFrame of a few literal rows."""
     return spark.createDataFrame(list(rows), schema)

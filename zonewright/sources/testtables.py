@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from zonewright.functions.numeric import round_half_away
 from zonewright.operators.prefix import running_totals
 from zonewright.operators.spatial import with_cells
+from zonewright.plans import routes
 from zonewright.plans.staging import item_totals
 
 # District name, centre in millionths of a degree, complex or not.
@@ -225,6 +226,24 @@ class TestTables:
             "((30 + ((o_orderkey * 16807 + 7) % 997) % 371) * 8) div 100 + 2 AS leg_minutes",
         )
 
+    def carried_telemetry(self) -> DataFrame:
+        """Routes as telemetry carries them, with faults planted by formulas of the key.
+
+        Stop numbers that are null or one too high, dispatches three days early, arrivals before
+        the dispatch or before the stop in front.
+        """
+        planned = routes.schedule(self.route_stops())
+        ordered = self["orders"].select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ordered_at"))
+        return planned.join(ordered, F.col("order_id") == F.col("k")).selectExpr(
+            "order_id",
+            "route_id",
+            "ordered_at",
+            "CASE WHEN k % 97 = 5 THEN NULL WHEN k % 89 = 3 THEN stop_number + 1 ELSE stop_number END AS stop_number",
+            "timestampadd(DAY, if(k % 101 = 9, -3, 0), dispatched_at) AS dispatched_at",
+            """timestampadd(MINUTE, CASE WHEN k % 83 = 7 THEN -40 * 1440 WHEN k % 79 = 11 THEN -45 ELSE 0 END,
+                estimated_arrival_at) AS estimated_arrival_at""",
+        )
+
 
 def _pick(values: list, key: str) -> str:
     """SQL for the value at ``key`` modulo the length of the list."""
