@@ -14,6 +14,7 @@ import io
 import json
 import math
 import posixpath
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -43,8 +44,8 @@ FRAME_IDS = 1 << 18
 #: Decompressed bytes that a reader hands on at once, about.
 READ_BYTES = 8 << 20
 
-#: Words whose ids a task remembers before it starts afresh, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+#: Pieces of words whose ids a worker remembers, over its tasks, before it starts afresh (about 60 MB), and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 
 #: Files whose places are added up in one step.
 FILES_PER_STEP = 4096
@@ -59,11 +60,46 @@ _FOOTER = struct.Struct("<IBI")
 _SKIP = struct.Struct("<II")
 
 
+# The pattern of a vocabulary that drops white space, and the same one for the letters below.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
+
+#: Words of which it is plain what becomes of them: of printable ASCII and Latin letters that no normalising changes.
+#: Added tokens begin with "<".
+PLAIN = "^[!-;=-~À-ÖØ-öø-ÿ]*$"
+
+#: Stands for the end of a word among ids.
+LINE_END = 0xFFFFFFFF
+
+
+def _byte_letters() -> dict[int, str]:
+    """What byte-level vocabularies write for the plain letters beyond ASCII: a character for each byte."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letter = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in set(own))}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+class _Pieces(dict):
+    """Ids of pieces of words, from the library's model."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))
+        ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if len(piece) <= REMEMBERED_CHARS:
+            self[piece] = ids
+        return ids
+
+
 class WordIds:
-    """Ids of whole texts, by the library, which sees every distinct word of a batch once.
+    """Ids of whole texts, by the library, which sees every distinct word of a batch, or piece of one, once.
 
     That equals encoding whole texts where no token and no normalising step reaches
-    across white space; a vocabulary that isn't known to be of that kind gets whole texts.
+    across white space; a vocabulary that isn't known to be of that kind gets whole texts. Words of plain
+    characters are cut into pieces here and merged by the library's model, others go through all of the library.
     """
 
     def __init__(self, path: str):
@@ -73,56 +109,62 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_word = _keeps_to_words(spec)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [w for w in words if w not in known]
-        fresh = dict(zip(new, self._library(new), strict=True))
-        known.update((w, ids) for w, ids in fresh.items() if len(w) <= REMEMBERED_CHARS)
-        return [fresh[w] if w in fresh else known[w] for w in words]
-
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, each text's followed by the end id, and where each text ends."""
-        texts = texts.fill_null("")
+        self.known = _Pieces(self.tokenizer.model)
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, in a row, and how many each has. All are cut and looked up in one go, with a line end after each."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        self.known["\n"] = struct.pack("<I", LINE_END)
+        lines = "\n".join([*words.to_pylist(), ""]).lower()
+        ids = np.frombuffer(b"".join(map(self.known.__getitem__, PIECES.findall(lines))), "<u4")
+        ends = np.flatnonzero(ids == LINE_END)
+        return ids[ids != LINE_END], np.diff(ends, prepend=-1) - 1
+
+    def _words(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids of the words as binary values, and the place of each word's."""
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+        ids, sizes = self._plain(words.filter(pa.array(plain)))
+        others = self._library(words.filter(pa.array(~plain)).to_pylist())
+        sizes = np.concatenate([[0], 4 * sizes, [len(x) for x in others]]).astype(np.int64)
+        data = pa.py_buffer(ids.tobytes() + b"".join(others))
+        values = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.cumsum(sizes)), data])
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(words))
+        return values, place
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """The ids of each text, followed by the end id, as little-endian unsigned 32-bit integers."""
+        texts, end = texts.fill_null(""), struct.pack("<I", end_id)
         if not self.by_word:
-            parts = [np.append(ids, np.uint32(end_id)) for ids in self._library(texts.to_pylist())]
-            return np.concatenate([np.zeros(0, np.uint32), *parts]), np.cumsum([len(p) for p in parts], dtype=np.int64)
+            return [ids + end for ids in self._library(texts.to_pylist())]
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        ids = self._words(coded.dictionary.to_pylist())
-        ids.append(np.array([end_id], np.uint32))
-        # the end id is one more word after each text
-        of_text = np.diff(split.offsets.to_numpy())
-        ends_at = np.cumsum(of_text + 1) - 1
-        words = np.full(len(coded) + len(texts), len(ids) - 1, np.int64)
-        at = np.ones(len(words), bool)
-        at[ends_at] = False
-        words[at] = coded.indices.to_numpy()
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        word_ends = np.cumsum(sizes[words])
-        total = int(word_ends[-1]) if len(word_ends) else 0
-        gather = np.repeat(starts[words] - (word_ends - sizes[words]), sizes[words]) + np.arange(total)
-        return np.concatenate(ids)[gather], word_ends[ends_at]
+        values, place = self._words(coded.dictionary)
+        # the ids of all words stand one after another, so a text's are one slice
+        taken = values.take(pa.array(place[coded.indices.to_numpy()]))
+        _, offsets, data = taken.buffers()
+        starts = np.frombuffer(offsets, np.int64, len(taken) + 1)[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        ids = memoryview(data) if data else b""
+        return [bytes(ids[a:b]) + end for a, b in zip(starts, starts[1:], strict=False)]
 
 
 def _keeps_to_words(spec: dict) -> bool:
-    normalizer, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
-    steps = [{k: v for k, v in s.items() if k != "type"} for s in normalizer.get("normalizers", [])]
-    kinds = [s["type"] for s in normalizer.get("normalizers", [])]
-    first = (split.get("pretokenizers") or [split])[0]
-    drops_space = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    # what is kept are runs of letters, single digits, and runs without white space
-    runs = first.get("pattern", {}).get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["content"].split() != [t["content"]] for t in spec["added_tokens"])
-    spaces = {"pattern": {"Regex": r"\s+"}, "content": " "}
-    return bool(plain and drops_space and runs and kinds == ["NFC", "Replace", "Lowercase"] and steps[1] == spaces)
+    """Whether a vocabulary drops white space, splits at it, and merges byte by byte within words."""
+    normalizer, split, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    steps = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+    pieces = [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]
+    added = spec["added_tokens"]
+    alone = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["content"].split() != [t["content"]] for t in added)
+    alone = alone and all(t["content"].startswith("<") for t in added)
+    same = normalizer.get("normalizers") == steps and split.get("pretokenizers") == pieces
+    return alone and same and model["type"] == "BPE" and not model.get("dropout")
 
 
 @lru_cache(2)
@@ -150,19 +192,19 @@ class _FileWriter:
         self.key, self.sizes, self.sums, self.bytes, self.ids = key, [], [], 0, 0
         self.keys, self.tokens, self.frames, self.frame_ids = [], [], [], frame_ids
 
-    def add(self, key: pa.Array, ids: np.ndarray) -> tuple[int, int, int]:
+    def add(self, key: pa.Array, ids: bytes) -> tuple[int, int, int]:
         """First frame, frames and ids of the file before this document."""
         first, start = len(self.sizes), self.ids
-        for at in range(0, max(1, len(ids)), self.frame_ids):
-            raw = ids[at : at + self.frame_ids].astype("<u4").tobytes()
+        for at in range(0, len(ids), 4 * self.frame_ids):
+            raw = ids[at : at + 4 * self.frame_ids]
             frame = self.compressor.compress(raw)
             self.stream.write(frame)
             self.sizes.append((len(frame), len(raw)))
             self.sums.append(xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF)
             self.bytes += len(frame)
-        self.ids += len(ids)
+        self.ids += len(ids) // 4
         self.keys.append(key)
-        self.tokens.append(len(ids))
+        self.tokens.append(len(ids) // 4)
         self.frames.append(len(self.sizes) - first)
         return first, self.frames[-1], start
 
@@ -278,14 +320,12 @@ def write(
             if not batch.num_rows:
                 continue
             keys = batch.column(0)
-            ids, ends = words.encode(batch.column(2), end_id)
-            places, begin = [], 0
-            for i, end in enumerate(ends.tolist()):
+            places = []
+            for i, ids in enumerate(words.encode(batch.column(2), end_id)):
                 if out is None:
                     out, n_files = _FileWriter(data, keys.type, frame_ids), n_files + 1
-                first, frames, start = out.add(keys.slice(i, 1), ids[begin:end])
-                places.append((n_files - 1, out.name, first, frames, start, end - begin))
-                begin = end
+                first, frames, start = out.add(keys.slice(i, 1), ids)
+                places.append((n_files - 1, out.name, first, frames, start, len(ids) // 4))
                 if out.bytes >= file_bytes:
                     out.close()
                     out = None
@@ -293,7 +333,7 @@ def write(
             yield pa.RecordBatch.from_arrays([keys, batch.column(1), *made], schema=arrow)
         if out is not None:
             out.close()
-        words.known.clear()
+        pa.default_memory_pool().release_unused()
 
     ranged.mapInArrow(run, schema).write.parquet(f"{folder}/directory")
     _files(spark.read.schema(schema).parquet(f"{folder}/directory")).write.parquet(f"{folder}/files")
