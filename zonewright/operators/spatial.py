@@ -87,6 +87,8 @@ def cell_at(spark, lat: float, lon: float, reference_lat: float = geo.REFERENCE_
     """The row that :func:`hex_lattice` of the city box has for a point's hexagon; none if its centre is outside."""
     south, west, north, east = CITY_BOX
     q, r = geo.hex_axial(F.lit(lat), F.lit(lon), reference_lat)
+    # the row's number, zero, makes the id a column: a join on a constant would be a nested loop
+    q = q + F.col("id")
     centre_lat, centre_lon = geo.hex_centre(q, r, reference_lat)
     cell = spark.range(1).select(
         geo.hex_id(q, r).alias("h3_cell_9"), q.alias("q"), r.alias("r"), centre_lat.alias("centre_lat"), centre_lon.alias("centre_lon")
