@@ -71,3 +71,13 @@ def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     out = queries.op8_exact_topk(spark, SMALL).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out) == brute(rows, lambda i: i % 100 == 0, 10)
+
+
+def test_a_crowd_next_to_one_query(vectors, monkeypatch):
+    """A third of all vectors nearly reach each other's scores; only so many are ranked as the first read takes."""
+    monkeypatch.setattr(exact_topk, "FIRST_READ", 2)
+    rng = random.Random(8)
+    base = floats(rng, 1)[0]
+    near = [[c + rng.randint(-3, 3) / 4096 for c in base] for _ in range(300)]
+    rows = list(enumerate(near)) + [(1000 + i, x) for i, x in enumerate(floats(rng, 600))]
+    assert found(vectors(rows), "vec_id % 50 = 0", 6) == brute(rows, lambda i: i % 50 == 0, 6)

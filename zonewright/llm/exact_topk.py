@@ -3,8 +3,8 @@
 The file holds each component's cell, a byte. For a query, the cells bound a vector's
 score from both sides. One scan finds the kth best lower bound, a second one the
 vectors whose upper bound reaches it. Exact vectors are then read in the order of
-their bounds: first the best few, then those whose bound reaches the kth exact
-score so far, after which nothing else can come in.
+their bounds: first the best few, then all whose bound reaches the kth exact
+score of those, as nothing else can come in.
 """
 
 from __future__ import annotations
@@ -120,8 +120,7 @@ def top_k(table: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
     )
     limited = spread.join(kth, "q", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
     reaching = filed.cogroup(limited.groupBy(meet)).applyInArrow(partial(_reaching, shift), "q long, v long, upper double")
-    by_bound = Window.partitionBy("q").orderBy(F.desc("upper"), "v")
-    reaching = materialize(reaching.withColumn("nth", F.row_number().over(by_bound)), "candidates")
+    reaching = materialize(reaching, "candidates")
 
     product = F.aggregate(F.zip_with("ints", "asked", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
     wanted = asked.select("q", "query_id", "own", F.col("ints").alias("asked"))
@@ -136,8 +135,10 @@ def top_k(table: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
         single = scored.select("q", "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
         return single.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    first = materialize(read(reaching.where(F.col("nth") <= FIRST_READ * k)), "first_read")
-    certain = ranked(first).groupBy("q").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("kth"))
-    later = reaching.where(F.col("nth") > FIRST_READ * k).join(certain, "q", "left")
-    later = later.where(F.col("kth").isNull() | (F.col("upper") >= F.col("kth"))).select("q", "v")
-    return ranked(first.unionByName(read(later))).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # the ranks end at a limit, so each task keeps so many candidates of a query before they meet
+    by_bound = Window.partitionBy("q").orderBy(F.desc("upper"), "v")
+    first = reaching.withColumn("nth", F.row_number().over(by_bound)).where(F.col("nth") <= FIRST_READ * k)
+    certain = ranked(read(first)).groupBy("q").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("kth"))
+    # whatever is among the best reaches their kth score, what was read first as well
+    later = reaching.join(certain, "q", "left").where(F.col("kth").isNull() | (F.col("upper") >= F.col("kth"))).select("q", "v")
+    return ranked(read(later)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
