@@ -113,3 +113,16 @@ def test_the_end_of_a_text_is_judged_too(docs):
     assert (fine.n_chunks, fine.n_bad_chunks, fine.kept) == (2, 0, True)
     assert (bad.n_chunks, bad.n_bad_chunks, bad.kept) == (2, 1, False) and not bad.base_failed
     assert (short.n_chunks, exact.n_chunks) == (0, 1)
+
+
+def test_the_query_is_judged_by_the_bands_alone(spark):
+    rows = queries.op7_quality(spark, SMALL).collect()
+    assert all(r.kept == (not r.rejected_by) and "symbols" not in r.rejected_by and ("words" in r.rejected_by) == r.base_failed for r in rows)
+
+
+def test_reasons_are_named(docs):
+    loop = " ".join(f"item {i} of the very same list that goes on and on" for i in range(80))
+    marked = " ".join(f"{w} |" for w in prose(600).split())
+    fine, short, again, symbols = judged(docs, [prose(600), "one two", loop, marked])
+    assert (fine.rejected_by, short.rejected_by.split(",")[0], symbols.rejected_by) == ("", "words", "symbols")
+    assert "whole below" in again.rejected_by

@@ -58,6 +58,7 @@ COLUMNS = [
     T.StructField("whole_ratio", T.DoubleType()),
     T.StructField("n_chunks", T.LongType()),
     T.StructField("n_bad_chunks", T.LongType()),
+    T.StructField("rejected_by", T.StringType()),
     T.StructField("kept", T.BooleanType()),
 ]
 
@@ -83,8 +84,8 @@ def duplicate_lines(text: bytes) -> int:
 
 
 class Judge:
-    def __init__(self, bands: Bands):
-        self.bands = bands
+    def __init__(self, bands: Bands, symbol_percent: int | None):
+        self.bands, self.symbol_percent = bands, symbol_percent
         self.sizes = [size for size, _, _ in bands.whole]
         self.compressor = zstandard.ZstdCompressor(level=bands.level, write_content_size=False, write_checksum=False)
 
@@ -104,14 +105,25 @@ class Judge:
         chunks = [text[i : i + size] for i in starts]
         bad = sum(not low <= self.ratio(x) <= high for x in chunks)
         symbols = sum(text.count(c) for c in SYMBOLS)
-        plain = not failed and 100 * symbols <= SYMBOL_PERCENT * len(words)
-        kept = plain and least <= whole <= most and bad <= self.bands.bad_share * len(chunks)
+        reasons = {
+            "words": failed,
+            "whole below": whole < least,
+            "whole above": whole > most,
+            "chunks": bad > self.bands.bad_share * len(chunks),
+            "symbols": self.symbol_percent is not None and 100 * symbols > self.symbol_percent * len(words),
+        }
+        out = [reason for reason, found in reasons.items() if found]
         chars = len(b"".join(words).decode())
-        return len(words), chars, symbols, duplicate_lines(text), n_repeat, failed, whole, len(chunks), bad, kept
+        return len(words), chars, symbols, duplicate_lines(text), n_repeat, failed, whole, len(chunks), bad, ",".join(out), not out
 
 
-def judge_texts(docs: DataFrame, keep: list[str], text: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """Columns ``keep`` and ``COLUMNS`` for each whole text.
+def judge_texts(
+    docs: DataFrame, keep: list[str], text: str = "text", bands: Bands = Bands(), symbol_percent: int | None = SYMBOL_PERCENT
+) -> DataFrame:
+    """Columns ``keep`` and ``COLUMNS`` for each whole text; ``rejected_by`` names the rules that it fails.
+
+    Besides the compression bands, texts strewn with symbols go; without ``symbol_percent`` the bands alone judge
+    what has words enough.
 
     Null, empty and blank texts have no words, so they fail. Rows are independent:
     repeated rows and extra columns change nothing, an empty table gives an empty one,
@@ -119,7 +131,7 @@ def judge_texts(docs: DataFrame, keep: list[str], text: str = "text", bands: Ban
     """
 
     def rows(texts):
-        judge = Judge(bands)
+        judge = Judge(bands, symbol_percent)
         return [judge(t or b"") for t in texts]
 
     return map_texts(docs, keep, text, COLUMNS, rows)

@@ -130,7 +130,7 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Plain counts and compression bands of every whole text."""
-    return quality.judge_texts(table(spark, folder, "documents"), ["doc_id"])
+    return quality.judge_texts(table(spark, folder, "documents"), ["doc_id"], symbol_percent=None)
 
 
 @query
