@@ -85,3 +85,27 @@ def test_held_out_rows(spark):
     assert flagged <= 0.01 * (clean + flagged)
     assert counts.get((1, 1), 0) >= 0.6 * (counts.get((1, 1), 0) + counts.get((1, 0), 0))
     assert scored.where("score < 0 OR score > 1 OR score IS NULL OR predicted <> int(score >= 0.3)").count() == 0
+
+
+def test_training_rows_are_bounded_whatever_a_key_has(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 400)
+    sizes = []
+    keep = toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, label: sizes.append((stored := keep(df, label)).count()) or stored)
+    for crowded in ([(5, f"text {i} of one key") for i in range(6000)], [(5, "copies of one text")] * 6000):
+        sizes.clear()
+        rows = crowded + [(i, f"text {i} of many keys") for i in range(10, 3000)]
+        labels = spark.createDataFrame([(i, int(i % 2)) for i in range(3000)], "doc_id long, toxic int")
+        toxicity.learn(docs(rows), labels)
+        assert sizes[-1] <= 1.25 * 400  # 400 by a hash, give or take
+
+
+def test_copies_of_one_text_teach_nothing(spark, docs):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 6))) for _ in range(n))
+    copied = prose(150) + " shredword " + prose(150)
+    toxic = [f"{copied} {prose(3)}" for _ in range(30)] + [f"{prose(20)} zorblu {prose(20)}" for _ in range(40)]
+    rows = list(enumerate(toxic)) + [(1000 + i, prose(40)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, toxic int")
+    learned = {w for w, _ in toxicity.learn(docs(rows), labels).weights if w.strip() == w}
+    assert "zorblu" in learned and not any(w.startswith("shre") for w in learned)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -144,6 +145,26 @@ def _beginnings(text: str) -> set[str]:
     return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
 
 
+def _copies_key(text: str) -> int:
+    """The least hash of the text's runs of five words, which near copies mostly share."""
+    words = text.split()
+    return min((zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))), default=0)
+
+
+def _different(rows: DataFrame) -> DataFrame:
+    """One text, the first in order, of those that share their copies' key."""
+    schema = T.StructType([T.StructField("__copies", T.LongType()), T.StructField("__text", T.StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([_copies_key(t) for t in batch.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, batch.column(0)], schema=arrow)
+
+    keyed = rows.select("__text").mapInArrow(run, schema)
+    return keyed.groupBy("__copies").agg(F.min("__text").alias("__text"))
+
+
 def _found(rows: DataFrame, of: frozenset[str] | None, counted: bool) -> DataFrame:
     """Beginnings of words in each text, only those in ``of``: as lists, or as counts of rows for each Arrow batch."""
     kinds = [T.StructField("entry", T.StringType()), T.StructField("n", T.LongType())]
@@ -168,22 +189,31 @@ def _found(rows: DataFrame, of: frozenset[str] | None, counted: bool) -> DataFra
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Lexicon:
     """The listed insults and the beginnings of words that toxic rows have far more often.
 
-    Rows: texts whose key has a label of 0 or 1, of which about ``TRAINING_ROWS`` by a hash of
-    the key; so what comes to the driver is bounded. A key with several labels counts as
-    toxic if one is 1. Without toxic or without other rows the list alone is the lexicon.
+    Rows: the distinct texts whose key has a label of 0 or 1, of which about ``TRAINING_ROWS`` by hashes of
+    the key and of the text; so what comes to the driver is bounded however many rows a key has. A key with several labels
+    counts as toxic if one is 1, and so does a text that several keys have. Without toxic or without other rows the
+    list alone is the lexicon.
     """
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("__toxic"))
     marked = marked.select(F.col(key).alias("__key"), "__toxic")
     some = F.pmod(F.xxhash64("__key"), F.lit(max(marked.count(), 1))) < TRAINING_ROWS
     rows = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).where("__text IS NOT NULL")
-    # about TRAINING_ROWS keys are small enough to broadcast, and their texts are read and stored once
-    rows = materialize(rows.join(F.broadcast(marked.where(some)), "__key").select("__text", "__toxic"), "labelled")
+    # about TRAINING_ROWS keys are small enough to broadcast; equal texts are one row, combined before they are shuffled
+    rows = rows.join(F.broadcast(marked.where(some)), "__key")
+    rows = rows.groupBy(F.xxhash64("__text").alias("__hash")).agg(F.max("__toxic").alias("__toxic"), F.min("__text").alias("__text"))
+    # a key may have any number of texts: these are cut once more, by a hash
+    rows = materialize(rows, "labelled")
+    n_texts = rows.count()
+    if n_texts > TRAINING_ROWS:
+        rows = materialize(rows.where(F.pmod(F.xxhash64("__hash"), F.lit(n_texts)) < TRAINING_ROWS), "labelled")
     sizes = {r["__toxic"]: r["n"] for r in rows.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not other:
         return Lexicon(tuple(sorted(_listed({}, {}, other).items())))
+    # what only copies of one text have in common tells nothing, so those count once
+    of_toxic, of_other = materialize(_different(rows.where("__toxic = 1")), "toxic"), rows.where("__toxic = 0")
+    toxic = of_toxic.count()
     least = max(ROWS, math.ceil(SHARE * toxic))
-    of_toxic, of_other = rows.where("__toxic = 1"), rows.where("__toxic = 0")
     often = {r["entry"]: r["n"] for r in _found(of_toxic, None, True).where(F.col("n") >= least).collect()}
     rest = {r["entry"]: r["n"] for r in _found(of_other, frozenset(often) | frozenset(INSULTS), True).collect()}
     weight = {e: math.log((n + 0.5) / (toxic + 1) * (other + 1) / (rest.get(e, 0) + 0.5)) for e, n in often.items()}
