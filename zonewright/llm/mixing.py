@@ -47,7 +47,8 @@ def _features(rows: DataFrame) -> DataFrame:
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], key: str, text: str, keep: list[str]) -> DataFrame:
     """``record`` (a struct of ``keep``), ``n_tokens`` (words) and ``posterior`` (one share per domain), stored.
 
-    ``labelled``: key and domain; rows of other domains are left out. Without usable rows
+    ``labelled``: key and domain; rows of other domains are left out. The classifier sees distinct texts, about
+    ``TRAINING_ROWS`` by hashes of the key and of the text, however many rows a key has. Without usable rows
     all domains are equally likely.
     """
     known = F.array(*map(F.lit, domains))
@@ -57,8 +58,14 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], key: st
     marked = marked.where(F.pmod(F.xxhash64("__key"), F.lit(max(n, 1))) < TRAINING_ROWS)
     record = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("record")
     rows = docs.select(record, F.col(key).alias("__key"), words(text).alias("__words"))
-    training = rows.select("__key", "__words").join(F.broadcast(marked), "__key")  # bounded by TRAINING_ROWS
-    training = materialize(training.select("__words", "label"), "labelled")
+    # keys bounded by TRAINING_ROWS; equal texts of one label are one row, combined before they are shuffled
+    training = docs.select(F.col(key).alias("__key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
+    training = training.join(F.broadcast(marked), "__key")
+    training = training.groupBy(F.xxhash64("__text").alias("__hash"), "label").agg(F.min("__text").alias("__text"))
+    training = materialize(training.select("__hash", words("__text").alias("__words"), "label"), "labelled")
+    n_texts = training.count()
+    if n_texts > TRAINING_ROWS:  # a key may have any number of texts
+        training = materialize(training.where(F.pmod(F.xxhash64("__hash"), F.lit(n_texts)) < TRAINING_ROWS), "labelled")
     if training.isEmpty():
         equal = F.array_repeat(F.lit(1.0 / len(domains)), len(domains))
         soft = rows.withColumn("posterior", equal)
