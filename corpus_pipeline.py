@@ -23,13 +23,16 @@ ROW = "__row"
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score as toxic."""
+    """Without the documents that score as toxic; null, empty and repeated texts are judged row by row, an empty table stays one."""
     scored = toxicity.score_rows(docs, queries.toxic_lexicon(spark, sf_dir))
     return scored.where(F.col("score") < toxicity.THRESHOLD).select("record.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the plain counts or the compression bands reject."""
+    """Without the documents that the plain counts, the compression bands or the share of symbols reject.
+
+    Null, empty and blank texts go, repeated rows are judged alike, an empty table stays one.
+    """
     return quality.judge_rows(docs).where("kept").select("record.*")
 
 
@@ -39,26 +42,30 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts are grouped, not ids: texts of one id that aren't near copies all stay. Rows without an id come after those
     with one. Texts without a word are nobody's copies and stay. Rows that are equal in id and text go by their other columns.
     """
-    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    placed = near_dedup.groups(rows, ROW, percent=NEAR_PERCENT).select(ROW, "component_id")
-    nodes = materialize(rows.select(ROW, "doc_id").join(placed, ROW), "nodes")
+    # what is added stands beside the record, so it clashes with no column
+    record = F.struct("text", *(c for c in docs.columns if c != "text")).alias("record")
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias(ROW), record), "rows")
+    placed = near_dedup.groups(rows.select(ROW, "record.text"), ROW, percent=NEAR_PERCENT).select(ROW, "component_id")
+    nodes = materialize(rows.select(ROW, "record.doc_id").join(placed, ROW), "nodes")
     first = nodes.groupBy("component_id").agg(F.min("doc_id").alias("least"))
     # without an id in the whole component, least is null
     candidates = nodes.join(first, "component_id").where(F.col("doc_id").eqNullSafe(F.col("least"))).select(ROW, "component_id")
-    record = F.struct("text", *(c for c in docs.columns if c != "text"))
-    kept = rows.join(candidates, ROW).groupBy("component_id").agg(F.min(record).alias("record"))
+    kept = rows.join(candidates, ROW).groupBy("component_id").agg(F.min("record").alias("record"))
     return kept.select("record.*").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix of languages asks for."""
+    """Each document as many times as the mix of languages asks for.
+
+    Null and empty texts count no tokens and are rated by the prior; rows with one id have the same rounding; an empty table stays one.
+    """
     mixed = mixing.mix(docs, queries.labelled_languages(spark, sf_dir), queries.LANGUAGE_WEIGHTS, docs.columns, seed=queries.MIX_SEED)
     copies = mixed.where("copies > 0").select("record", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
     return copies.select("record.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of every document, and whether they decode to its text."""
+    """Tokens of every document, and whether they decode to its text; null and empty texts have none, repeated rows stay."""
     return bpe.round_trip(docs, queries.BYTE_BPE, ["doc_id", "lang", "source"])
 
 
