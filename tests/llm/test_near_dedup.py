@@ -137,3 +137,52 @@ def test_bands_and_bounds_follow_the_percentage():
         assert len(nd.signature(b"a b c d e f g", percent)[3]) == bands
     with pytest.raises(ValueError):
         nd.banding(100)
+
+
+def test_wide_bitmaps_fold_and_never_overrate(spark):
+    rng = random.Random(31)
+    base = [f"w{rng.random()}" for _ in range(3000)]
+    for n, k in ((3000, 40), (2100, 0), (1100, 3), (513, 2), (512, 1)):
+        x, y = " ".join(base[:n]).encode(), edited(base[:n], rng, k).encode()
+        sx, sy = nd.signature(x), nd.signature(y)
+        assert (sx[6] is None) == (sx[0] <= nd.SET_ELEMENTS)
+        if sx[6] is None:
+            continue
+        assert 64 * len(sx[6]) >= 2 * sx[0]
+        folded = np.array(sx[6])
+        while len(folded) > nd.SET_WORDS:
+            folded = folded[: len(folded) // 2] ^ folded[len(folded) // 2 :]
+        assert folded.tolist() == sx[5]
+        if sy[6] is not None and len(sx[6]) == len(sy[6]):
+            differing = sum(bin((p ^ q) & (1 << 64) - 1).count("1") for p, q in zip(sx[6], sy[6], strict=True))
+            assert differing <= len(nd.shingle_set(x) ^ nd.shingle_set(y))
+
+
+def template(n, edits, words=3000):
+    """Texts of one template, each edited on its own, so that all pairs are alike."""
+    rng = random.Random(n)
+    base = [f"w{i}" for i in range(words)]
+    return [(i, edited(base, rng, edits)) for i in range(n)]
+
+
+def test_texts_of_a_template_that_do_not_link_are_not_written_out(docs, monkeypatch):
+    rows = template(150, 36) + [(1000 + i, t) for i, (_, t) in enumerate(template(20, 5))]
+    similar = nd.shingle_set(rows[0][1].encode()), nd.shingle_set(rows[1][1].encode())
+    share = len(similar[0] & similar[1]) / len(similar[0] | similar[1])
+    assert 0.75 < share < 0.83
+    pairs = []
+    keep = nd.materialize
+    monkeypatch.setattr(nd, "materialize", lambda df, label: pairs.append((stored := keep(df, label)).count()) or stored if label == "pairs" else keep(df, label))
+    got = found(docs(rows))
+    assert got == brute(rows)
+    assert sum(pairs) <= 4 * len(rows)  # of 11,175 pairs of the template
+
+
+def test_sets_a_width_apart_link(docs):
+    """2,048 elements have bitmaps of 64 words, one more those of 128."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(2052)]
+    rows = [(i, " ".join(base[: 2052 - i * 3] + [f"own{i}" for _ in range(i % 2)])) for i in range(12)]
+    rows += [(100 + i, " ".join(base + [f"more{i}x{j}" for j in range(i * 9)])) for i in range(1, 12)]
+    rng.shuffle(rows)
+    assert found(docs(rows)) == brute(rows)

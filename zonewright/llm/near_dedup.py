@@ -4,13 +4,15 @@ Each distinct shingle set gets MinHash samples. Sets that agree on all samples o
 band share a bucket. The samples are also folded into an odd sketch, a bitmap of
 parities: the set bits of two sketches' XOR estimate how many samples differ, most
 precisely where few do. A second bitmap folds the whole set; its XOR has no more set
-bits than the sets differ in, so it never turns a link down. Pairs that pass both
+bits than the sets differ in, so it never turns a link down; it has at least two bits
+for each element, so it tells long sets apart as well. Pairs that pass both
 are confirmed on the full sets.
 
-No bucket's pairs are written out. First each set is held against one hub of each of
+First each set is held against one hub of each of
 its buckets, and the confirmed links are joined to components. Then only pairs of
 a bucket whose components still differ are compared, inside the join, so that no
-component stays apart from one it has a link to.
+component stays apart from one it has a link to. What is written out is the pairs that the
+bitmaps can't tell from links; texts of one template that don't link are compared, but not written out.
 """
 
 from __future__ import annotations
@@ -51,6 +53,9 @@ BANDS, ROWS = banding(PERCENT)
 #: Bits of the odd sketch of the samples, and of the bitmap of the whole set, as 64-bit words.
 SKETCH_WORDS, SET_WORDS = 8, 16
 
+#: Elements up to which the bitmap of so many words is wide enough; longer sets have a second one, of at least two bits an element.
+SET_ELEMENTS = 32 * SET_WORDS
+
 #: Pairs whose estimate is so many standard deviations of the samples below a link are left out.
 DEVIATIONS = 8
 
@@ -105,13 +110,18 @@ def _parities(positions: np.ndarray, n_words: int) -> list[int]:
     return np.packbits(bits).view(np.int64).tolist()
 
 
+def _width(n: int) -> int:
+    """64-bit words of the bitmap of a set of n elements, a power of two."""
+    return max(SET_WORDS, 1 << (-(-n // 32) - 1).bit_length())
+
+
 def signature(text: bytes, percent: int = PERCENT) -> tuple:
-    """Size of the set, its identity (two hashes), band keys for links of ``percent``, odd sketch and set bitmap."""
+    """Size of the set, its identity (two hashes), band keys for links of ``percent``, odd sketch, set bitmap and its wide one, if long."""
     bands, in_band = banding(percent)
     n = bands * in_band
     elements = _hashed_set(text)
     if not len(elements):
-        return 0, None, None, None, None, None
+        return 0, None, None, None, None, None, None
     high = (elements >> np.uint64(32)).astype(np.uint32)
     samples = np.full(n, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(high), _STRIDE):
@@ -120,8 +130,9 @@ def signature(text: bytes, percent: int = PERCENT) -> tuple:
     keys = _mixed((wide.reshape(bands, in_band) * _IN_BAND[:in_band]).sum(1) + np.arange(1, bands + 1, dtype=np.uint64) * _SALTS[1])
     folded = _mixed(wide + np.arange(n, dtype=np.uint64) * _SALTS[2]) % np.uint64(64 * SKETCH_WORDS)
     identity = int(elements.sum().astype(np.int64)), int(np.bitwise_xor.reduce(_mixed(elements + _SALTS[3])).astype(np.int64))
-    whole = elements % np.uint64(64 * SET_WORDS)
-    return len(elements), *identity, keys.astype(np.int64).tolist(), _parities(folded, SKETCH_WORDS), _parities(whole, SET_WORDS)
+    whole, width = elements % np.uint64(64 * SET_WORDS), _width(len(elements))
+    wide = _parities(elements % np.uint64(64 * width), width) if width > SET_WORDS else None
+    return len(elements), *identity, keys.astype(np.int64).tolist(), _parities(folded, SKETCH_WORDS), _parities(whole, SET_WORDS), wide
 
 
 _LONGS = T.ArrayType(T.LongType())
@@ -132,6 +143,7 @@ SIGNATURE = [
     T.StructField("bands", _LONGS),
     T.StructField("odd", _LONGS),
     T.StructField("parity", _LONGS),
+    T.StructField("wide", _LONGS),
 ]
 
 
@@ -174,6 +186,30 @@ def _side(side: str) -> list[Column]:
     ]
 
 
+def _at_widths(members: DataFrame) -> DataFrame:
+    """Each row with its bitmap in its own ``width``, and folded to half of it, as sets that link may be a width apart.
+
+    An element's bit is its hash modulo the width, so the XOR of the halves is the bitmap of half the width.
+    """
+    own = F.coalesce("wide", "parity")
+    half = (F.size(own) / 2).cast("int")
+    folded = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+    def at(bitmap: Column, is_own: bool) -> Column:
+        return F.struct(F.size(bitmap).alias("width"), bitmap.alias("bitmap"), F.lit(is_own).alias("own"))
+
+    widths = F.when(half >= SET_WORDS, F.array(at(own, True), at(folded, False))).otherwise(F.array(at(own, True)))
+    return members.withColumn("__at", F.explode(widths)).select(*members.columns, "__at.*").drop("wide")
+
+
+def _far(left: str, right: str, percent: int) -> Column:
+    """Whether the bitmaps differ in more bits than sets that link can."""
+    bits = F.aggregate(
+        F.zip_with(f"{left}bitmap", f"{right}bitmap", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n
+    )
+    return (100 + percent) * bits > (100 - percent) * (F.col(f"{left}n") + F.col(f"{right}n"))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets link."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -278,9 +314,12 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: in
     rooted = shared.select("id", "bucket").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
     open_ = rooted.join(mixed, "bucket", "left_semi")
-    open_ = materialize(open_.join(reps.select("id", "n_shingles", "odd", "parity"), "id"), "open")
-    left, right = (open_.select("bucket", F.col("root").alias(f"{side}root"), *_side(side)) for side in ("l_", "r_"))
-    across = left.join(right, "bucket").where((F.col("l_root") < F.col("r_root")) & _may_link("l_", "r_", percent))
+    open_ = materialize(_at_widths(open_.join(reps.select("id", "n_shingles", "odd", "parity", "wide"), "id")), "open")
+    left, right = (
+        open_.select("bucket", "width", *(F.col(c).alias(f"{side}{c}") for c in ("root", "bitmap", "own")), *_side(side)) for side in ("l_", "r_")
+    )
+    met = left.join(right, ["bucket", "width"]).where((F.col("l_root") < F.col("r_root")) & (F.col("l_own") | F.col("r_own")))
+    across = met.where(_may_link("l_", "r_", percent) & ~_far("l_", "r_", percent))
     pairs = materialize(across.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct(), "pairs")
     across = _confirmed(pairs, texts, percent)
     # components of components: every id stays tied to the root it had
