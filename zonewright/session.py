@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import re
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -61,6 +64,9 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+# Names that scratch_path gives.
+_STORED = re.compile(r"-[0-9a-f]{32}$")
+
 # The folder of the run that is going on, if one was begun.
 _run: ContextVar[str | None] = ContextVar("run", default=None)
 
@@ -71,6 +77,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[str]:
     """A folder for what a job stores on its way; dropped at the end, also after a failure.
@@ -83,8 +94,7 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _run.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -97,4 +107,65 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _lease(stored, path)
+    return stored
+
+
+# -- the life of stored tables --------------------------------------------------
+
+# (session's context, what the plans that read a stored table share, its folder)
+_leases: list[tuple[str, object, str]] = []
+
+
+def _lease(stored: DataFrame, path: str) -> None:
+    """Remembers a stored table for as long as a plan reads it.
+
+    All plans made of a table share its file index. A weak reference to that in the JVM is empty when the last of
+    them is gone: a running query holds its plan, and so does a DataFrame that somebody still has.
+    """
+    spark = stored.sparkSession
+    index = stored._jdf.queryExecution().analyzed().relation().location()
+    _leases.append((spark.sparkContext.applicationId, spark._jvm.java.lang.ref.WeakReference(index), path))
+
+
+def release_unread(spark: SparkSession) -> list[str]:
+    """Drops what was stored on the way to results that nobody can read any more; returns the folders.
+
+    For services that keep a session and hand out lazy results: call it between requests. Plans are
+    found gone when both garbage collectors have seen it, so both run here, more than once, as one passes on to the
+    other what it has let go; what they miss goes with the next call. An RDD made of
+    a DataFrame doesn't hold its plan: keep the DataFrame as long as the RDD is used.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.1)
+    own = spark.sparkContext.applicationId
+    unread = [lease for lease in _leases if lease[0] == own and lease[1].get() is None]
+    for lease in unread:
+        _leases.remove(lease)
+        _delete(spark, lease[2])
+    _leases[:] = [lease for lease in _leases if lease[0] == own]  # an ended session's can't be asked any more
+    return [path for _, _, path in unread]
+
+
+def sweep(spark: SparkSession, hours: float) -> list[str]:
+    """Drops what any session stored in the shared folder and nobody has written to for so many hours; returns the names.
+
+    For sessions that ended without cleaning up. What this session has stored is left to
+    :func:`release_unread`, so ``hours`` has to be longer than other sessions keep their results.
+    """
+    root = shared_folder(spark).rstrip("/")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = {path.rsplit("/", 1)[-1] for _, _, path in _leases}
+    limit = time.time() - hours * 3600
+    dropped = []
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        name = status.getPath().getName()
+        if _STORED.search(name) and name not in held and status.getModificationTime() / 1000 < limit:
+            files.delete(status.getPath(), True)
+            dropped.append(name)
+    return sorted(dropped)
