@@ -62,7 +62,7 @@ BLOCKED = (
 ).split()
 
 # What stands around a word in a name, and around a name in a URL, alike for both kinds.
-NAMES = ("{}", "best-{}", "{}-online", "my{}", "{}-world", "the-{}-club", "{}24", "free-{}", "{}-zone", "new{}")
+NAMES = ("{}", "best-{}", "{}-online", "my{}", "{}-world", "the-{}-club", "{}24", "{}-guide", "{}-zone", "new{}")
 AROUND = ("https://www.{}.com/", "http://{}.org/about.html", "https://shop.{}.co.uk/list/2020/5", "http://{}.info/en/index", "https://host.org/~{}/page")
 
 #: Names made of every allowed word, and of every blocked one. There are more allowed ones, so an unknown name counts as one.
