@@ -120,3 +120,12 @@ def test_kpi_cards(spark):
         "at_risk_cost_usd double, total_margin_gap_usd double",
     )
     assert tuple(feeds.kpi_cards(df).first()) == (10, 13.1, 50.1, True, 10945, -23366, "Profit")
+
+
+def test_sums_of_zones_have_no_bound_of_one_amount(spark):
+    rows = [(f"{i}_0", "Quận 1", 20.5, 1e12 + i, True, True) for i in range(3)]
+    columns = "h3_cell_9 string, district string, avg_delay_minutes double, total_margin_gap_usd double, is_hotspot boolean, has_data boolean"
+    zones = spark.createDataFrame(rows, columns)
+    assert feeds.recommendation(zones).first()["total_margin_gap_usd"] == 3e12 + 3
+    kpis = feeds.zone_kpis(zones).first()
+    assert (kpis["n_hotspots"], kpis["hotspot_gap_usd"], kpis["hotspot_delay_minutes"]) == (3, 3e12 + 3, 20.5)
