@@ -103,3 +103,50 @@ def test_written_arrays_come_back(spark, tmp_path):
     assert rows(read_json_array(spark, f"{path}/*", SCHEMA)) == rows(documents)
     write_json_arrays(documents.limit(0), path)
     assert read_json_array(spark, f"{path}/*", SCHEMA).collect() == []
+
+
+def shuffled(plan):
+    """Bytes that the exchanges of an executed plan have taken."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled(plan.plan())
+    children = plan.children()
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(shuffled(children.apply(i)) for i in range(children.size()))
+
+
+@pytest.mark.parametrize("block", [10**8, 40_000])
+def test_documents_are_cut_where_they_stand(spark, tmp_path, conf, block):
+    """Only what lies across the edges of blocks is shuffled, and nothing of a file that is one block."""
+    file = tmp_path / "a.json"
+    file.write_text(json.dumps([{"id": i, "text": f"{i} " * 40} for i in range(4000)]))
+    conf(spark__sql__files__maxPartitionBytes=str(block), spark__sql__files__openCostInBytes="0")
+    documents = read_json_array(spark, str(file), SCHEMA)
+    assert len(documents.collect()) == 4000
+    assert shuffled(documents._jdf.queryExecution().executedPlan()) < file.stat().st_size / 10
+
+
+def test_writing_makes_the_documents_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    documents = spark.range(0, 3000, 1, 4).mapInArrow(count, "id bigint")
+    write_json_arrays(documents, str(tmp_path / "out"), array_bytes=2000)
+    assert made.value == 3000
+    assert read_json_array(spark, f"{tmp_path}/out/*", SCHEMA).selectExpr("sum(id)", "count(*)").first() == (4498500, 3000)
+
+
+def test_compressed_arrays_beside_cut_ones(spark, tmp_path, conf):
+    rng = random.Random(11)
+    (tmp_path / "a.json").write_text(json.dumps([document(rng, i) for i in range(200)]))
+    documents = whole(spark, str(tmp_path / "a.json"))
+    for name, compression in (("plain", "none"), ("packed", "gzip")):
+        write_json_arrays(documents, f"{tmp_path}/out/{name}", array_bytes=9000, compression=compression)
+    write_json_arrays(documents.limit(0), f"{tmp_path}/out/none", compression="gzip")
+    conf(spark__sql__files__maxPartitionBytes="1500", spark__sql__files__openCostInBytes="0")
+    assert rows(read_json_array(spark, f"{tmp_path}/out/*/*", SCHEMA)) == rows(documents.union(documents))

@@ -4,72 +4,122 @@ A splittable text scan cuts an array at every closing brace, wherever it stands.
 them end a document depends on all that comes before: how deep the nesting is,
 and whether a string is open. Both are sums, so they need no single reader: each
 block of the file reports its change for either kind of start, a running sum over the blocks, one
-row each, fixes how every block starts, and a second scan cuts the documents.
+row each, fixes how every block starts, and a second scan cuts the documents where they stand.
+Only what lies across the edge of a block is shuffled; a file that is one block needs no first scan.
 """
 
 from __future__ import annotations
 
-import math
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 #: Bytes of documents in one written array, about.
 ARRAY_BYTES = 128 << 20
 
-BLOCK = ("file", "block")
+#: Lines of a written array: each has as many documents as fill its part of the bytes, one at least.
+ARRAY_LINES = 32
 
+BLOCK = ("file", "block")
 
-def _count(text: Column, characters: str) -> Column:
-    """How often any of the characters stands in a text."""
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+_QUOTE, _BACKSLASH, _CLOSE = b'"\\}'
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b'"\\{}[]')] = True
+_CHANGE = np.zeros(256, np.int64)
+_CHANGE[list(b"{[")], _CHANGE[list(b"}]")] = 1, -1
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between closing braces, with its change of quoting and of depth.
+    """What lies between closing braces, in the file's order within a task. The last of a file gets a brace too."""
+    place = ["_metadata.file_path AS file", "_metadata.file_block_start AS block"]
+    several = "_metadata.file_block_length < _metadata.file_size AS several"
+    return spark.read.option("lineSep", "}").text(path).selectExpr(*place, several, "concat(value, '}') AS value")
 
-    ``flips`` is the number of quotes; ``depth0`` and ``depth1`` are the changes of depth if no string is
-    open at the start, and if one is. They include the brace after the piece, which counts where no string is open.
-    """
-    place = ["_metadata.file_path AS file", "_metadata.file_block_start AS block", "monotonically_increasing_id() AS at"]
-    pieces = spark.read.option("lineSep", "}").text(path).selectExpr(*place, "value")
-    # backslashes stand in strings only, and what one escapes is no quote
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
-    flips = _count(plain, '"')
-    string, rest_of_string = r'"[^"]*("|\z)', r'\A[^"]*("|\z)'
-    outside0 = F.regexp_replace(plain, string, "")
-    outside1 = F.regexp_replace(F.regexp_replace(plain, rest_of_string, ""), string, "")
-
-    def change(outside: Column, closes: Column) -> Column:
-        return _count(outside, "{[") - _count(outside, "]") - F.when(closes, 1).otherwise(0)
-
-    even = flips % 2 == 0
-    return pieces.select(
-        *BLOCK,
-        "at",
-        "value",
-        flips.cast("long").alias("flips"),
-        change(outside0, even).cast("long").alias("depth0"),
-        change(outside1, ~even).cast("long").alias("depth1"),
-    )
 
+def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, np.ndarray]]:
+    """The rows of a batch by block, in order: the block, the place of its first row, and the bytes of its pieces."""
+    value = batch.column(batch.schema.get_field_index("value")).cast(pa.large_binary())
+    offsets = np.frombuffer(value.buffers()[1], np.int64)[value.offset : value.offset + len(value) + 1]
+    raw = np.frombuffer(value.buffers()[2], np.uint8)
+    if not len(value):
+        return
+    places = [batch.column(batch.schema.get_field_index(name)) for name in BLOCK]
+    ids = [np.asarray(place.dictionary_encode().indices) for place in places]
+    edges = np.flatnonzero((np.diff(ids[0]) != 0) | (np.diff(ids[1]) != 0)) + 1
+    for start, end in zip([0, *edges], [*edges, len(value)], strict=True):
+        yield tuple(place[start].as_py() for place in places), int(start), raw[offsets[start] : offsets[end]]
+
+
+def _texts(raw: bytes, offsets: Sequence[int]) -> pa.Array:
+    """What stands in some bytes between each two offsets."""
+    buffers = [None, pa.py_buffer(np.array(offsets, np.int32)), pa.py_buffer(raw)]
+    return pa.Array.from_buffers(pa.string(), len(offsets) - 1, buffers)
+
+
+def _marks(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and bytes of the quotes, braces and brackets that no backslash escapes."""
+    at = np.flatnonzero(_MARKS[raw])
+    mark = raw[at]
+    escapes = mark == _BACKSLASH
+    if escapes.any():
+        back, at = at[escapes], at[~escapes]
+        mark = mark[~escapes]
+        first = np.maximum.accumulate(np.where(np.diff(back, prepend=-2) != 1, np.arange(len(back)), 0))
+        odd = back[(np.arange(len(back)) - first) % 2 == 0]  # those that another one doesn't escape
+        free = ~np.isin(at - 1, odd)
+        at, mark = at[free], mark[free]
+    return at, mark
 
-def _run_in_block(pieces: DataFrame) -> DataFrame:
-    """Adds the state after each piece, for both states in which its block may start."""
-    order = Window.partitionBy(*BLOCK).orderBy("at")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.coalesce(F.sum("flips").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    pieces = pieces.withColumn("odd", before)
-    moved = [F.when(F.col("odd") == start, F.col("depth0")).otherwise(F.col("depth1")) for start in (0, 1)]
-    return pieces.withColumns(
-        {
-            "flipped": F.sum("flips").over(upto) % 2,
-            "run0": F.sum(moved[0]).over(upto),
-            "run1": F.sum(moved[1]).over(upto),
-        }
-    )
+
+def _runs(mark: np.ndarray, quoted: int, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For either mark: whether it closes a brace outside of strings, and the depth after it. Then whether a string is open at the end."""
+    quote = mark == _QUOTE
+    flips = np.cumsum(quote)
+    outside = (flips + quoted) % 2 == 0  # at a quote it doesn't matter
+    return outside & (mark == _CLOSE), depth + np.cumsum(_CHANGE[mark] * outside), (quoted + int(flips[-1] if len(flips) else 0)) % 2
+
+
+_KINDS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("quoted", "run", "closings")]))
+_SUMMARY = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        *[T.StructField(n, T.LongType()) for n in ("block", "flipped", "run0", "run1")],
+        T.StructField("kinds", _KINDS),
+    ]
+)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block, for either kind of start: the changes of quoting and depth, and how many braces close to each depth."""
+    schema = to_arrow_schema(_SUMMARY)
+    here, state, closings = None, [], Counter()
+
+    def summary() -> pa.RecordBatch:
+        kinds = [{"quoted": k, "run": run, "closings": n} for (k, run), n in closings.items()]
+        row = {"file": here[0], "block": here[1], "flipped": state[0][0], "run0": state[0][1], "run1": state[1][1], "kinds": kinds}
+        return pa.RecordBatch.from_pylist([row], schema=schema)
+
+    for batch in batches:
+        for block, _, raw in _stretches(batch):
+            if block != here:
+                if here:
+                    yield summary()
+                here, state, closings = block, [(0, 0), (1, 0)], Counter()
+            _, mark = _marks(raw)
+            for k, (quoted, depth) in enumerate(state):
+                closes, depths, quoted = _runs(mark, quoted, depth)
+                runs, counts = np.unique(depths[closes], return_counts=True)
+                closings.update({(k, int(run)): int(n) for run, n in zip(runs, counts, strict=True)})
+                state[k] = quoted, int(depths[-1]) if len(depths) else depth
+    if here:
+        yield summary()
 
 
 def _block_starts(pieces: DataFrame) -> DataFrame:
@@ -78,18 +128,8 @@ def _block_starts(pieces: DataFrame) -> DataFrame:
     A document ends where a brace outside of strings closes to depth one. How many do in a block is looked up among the
     depths that its braces close to, counted for either kind of start. One row a block goes into the sums over a file.
     """
-    kinds = F.array(*[F.struct(F.lit(k).cast("long").alias("quoted"), F.col(f"run{k}").alias("run")) for k in (0, 1)])
-    run = _run_in_block(pieces.drop("value")).withColumn("kind", F.explode(kinds))
-    unquoted = (F.col("kind.quoted") + F.col("flipped")) % 2 == 0
-    depths = run.groupBy(*BLOCK, "kind").agg(
-        F.count_if(unquoted).alias("closings"), F.max(F.struct("at", "flipped", "kind.run")).alias("last")
-    )
-    end = [F.max(F.when(F.col("kind.quoted") == k, F.col("last"))) for k in (0, 1)]
-    blocks = depths.groupBy(*BLOCK).agg(
-        F.max("last")["flipped"].alias("flipped"),
-        *[e["run"].alias(f"run{k}") for k, e in enumerate(end)],
-        F.map_from_entries(F.collect_list(F.struct("kind", "closings"))).alias("closings"),
-    )
+    counted = F.transform("kinds", lambda k: F.struct(F.struct(k["quoted"], k["run"]), k["closings"]))
+    blocks = pieces.select(*BLOCK, "value").mapInArrow(_summaries, _SUMMARY).withColumn("closings", F.map_from_entries(counted))
     file = Window.partitionBy("file")
     earlier = file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -106,6 +146,77 @@ def _block_starts(pieces: DataFrame) -> DataFrame:
     return blocks.select(*BLOCK, "quoted", "depth", before("ends").alias("documents"), sound.alias("sound"))
 
 
+_CUT = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        *[T.StructField(n, T.LongType()) for n in ("number", "block", "place", "ends")],
+        T.StructField("sound", T.BooleanType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
+
+def _cut(edges: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts documents out of blocks that come with their starts; ``ends`` is 1 where a text ends one.
+
+    What lies before the first end in a block of several and after the last one belongs to documents that other blocks
+    share: with ``edges`` only that is given, else only the rest. What is left at the end of a file has no end.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(_CUT)
+        here, several, quoted, depth, number, seen, place, sound, left = None, False, 0, 0, 0, 0, 0, True, []
+
+        def rows(texts: pa.Array, numbers: np.ndarray, ends: int, sound: bool) -> pa.RecordBatch:
+            n = len(texts)
+            same = [pa.repeat(pa.scalar(x, schema.field(name).type), n) for name, x in (("file", here[0]), ("block", here[1]), ("place", place), ("ends", ends), ("sound", sound))]
+            return pa.RecordBatch.from_arrays([same[0], pa.array(numbers, pa.int64()), *same[1:], texts], schema=schema)
+
+        def one(text: bytes, ends: int, sound: bool) -> pa.RecordBatch:
+            return rows(_texts(text, [0, len(text)]), np.array([number]), ends, sound)
+
+        def rest() -> Iterator[pa.RecordBatch]:
+            """What a block leaves after its last end: of a whole file the end, else a part of a document."""
+            text, fits = b"".join(left), sound if several else (quoted, depth) == (0, -1)
+            if here and several == edges and (text or not fits):
+                yield one(text, 0, fits)
+
+        for batch in batches:
+            start_of = [batch.column(batch.schema.get_field_index(c)) for c in ("several", "quoted", "depth", "documents", "sound")]
+            for block, row, raw in _stretches(batch):
+                if block != here:
+                    yield from rest()
+                    several, quoted, depth, number, sound = (c[row].as_py() for c in start_of)
+                    here, seen, place, left = block, 0, 0, []
+                at, mark = _marks(raw)
+                closes, depths, quoted = _runs(mark, quoted, depth)
+                depth = int(depths[-1]) if len(depths) else depth
+                ends = at[closes & (depths == 1)] + 1
+                if len(ends):
+                    first = several and not seen  # other blocks share this one
+                    if first and edges:
+                        yield one(b"".join([*left, raw[: ends[0]].tobytes()]), 1, sound)
+                        place += 1
+                    if not edges:
+                        own = 0 if not first else int(ends[0])
+                        begun = [] if first else left
+                        kept = ends[1:] if first else ends
+                        if len(kept):
+                            text = b"".join([*begun, raw[own : kept[-1]].tobytes()])
+                            offsets = np.concatenate([[0], kept - own + len(text) - (int(kept[-1]) - own)])
+                            yield rows(_texts(text, offsets), number + int(first) + np.arange(len(kept)), 1, sound)
+                    number, seen, left = number + len(ends), seen + len(ends), []
+                    raw = raw[ends[-1] :]
+                if several == edges or seen:
+                    left.append(raw.tobytes())
+                if edges and several and not seen:  # no end so far: nothing is held back
+                    yield one(b"".join(left), 0, sound)
+                    place, left = place + 1, []
+        yield from rest()
+
+    return run
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Documents of JSON arrays, indented or not; one file is read by as many tasks as it has blocks.
 
@@ -115,43 +226,60 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     read. Compressed files can't be cut, so one is one block.
     """
     pieces = _pieces(spark, path)
-    placed = _run_in_block(pieces).join(_block_starts(pieces), list(BLOCK))
-    depth = F.col("depth") + F.when(F.col("quoted") == 0, F.col("run0")).otherwise(F.col("run1"))
-    unquoted = (F.col("quoted") + F.col("flipped")) % 2 == 0
-    placed = placed.withColumn("ends", (unquoted & (depth == 1)).cast("long"))
-    in_block = Window.partitionBy(*BLOCK).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    number = F.col("documents") + F.coalesce(F.sum("ends").over(in_block), F.lit(0))
-    parts = F.sort_array(F.collect_list(F.struct("block", "at", "value")))
-    documents = placed.withColumn("number", number).groupBy("file", "number").agg(
+    starts = F.broadcast(_block_starts(pieces.where("several")))
+    # a broadcast join leaves the rows of a task as they come
+    whole = pieces.join(starts, list(BLOCK), "left").fillna({"quoted": 0, "depth": 0, "documents": 0, "sound": True})
+    shared = pieces.where("several").join(starts, list(BLOCK))
+    parts = F.sort_array(F.collect_list(F.struct("block", "place", "text")))
+    joined = shared.mapInArrow(_cut(edges=True), _CUT).groupBy("file", "number").agg(
         F.max("ends").alias("ends"), F.min("sound").alias("sound"), parts.alias("parts")
     )
-    text = F.array_join(F.transform("parts", lambda part: part["value"]), "}")
-    rest = text.rlike(r"\A\s*(\[\s*)?\]?\s*\z")
+    joined = joined.withColumn("text", F.array_join(F.transform("parts", lambda part: part["text"]), ""))
+    columns = ["file", "ends", "sound", "text"]
+    documents = whole.mapInArrow(_cut(edges=False), _CUT).select(columns).unionByName(joined.select(columns))
+    text = F.col("text")
+    left = F.expr("left(text, length(text) - 1)")
+    rest = left.rlike(r"\A\s*(\[\s*)?\]?\s*\z")
     broken = F.raise_error(F.concat(F.col("file"), F.lit(" is no JSON array of documents")))
     is_document = F.when(~F.col("sound"), broken.cast("boolean")).when(F.col("ends") == 1, True).when(rest, False)
-    body = F.regexp_replace(F.concat(text, F.lit("}")), r"\A[\s,\[]+", "")
+    body = F.regexp_replace(text, r"\A[\s,\[]+", "")
     parsed = F.from_json(body, T.StructType.fromDDL(schema), {"mode": "FAILFAST"})
     cut = documents.where(is_document.otherwise(broken.cast("boolean")))
     return cut.select(parsed.alias("document")).select("document.*")
 
 
-def write_json_arrays(documents: DataFrame, path: str, array_bytes: int = ARRAY_BYTES) -> None:
-    """JSON arrays of documents, one per file and as many as their size asks for.
+def _array_lines(line_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines of arrays, ``ARRAY_LINES`` each and fewer in a task's last: documents after documents, with the array's signs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def line(texts: list[bytes], place: int, last: bool) -> pa.RecordBatch:
+            last |= place % ARRAY_LINES == ARRAY_LINES - 1
+            text = (b"," if place % ARRAY_LINES else b"[") + b",\n".join(texts) + (b"]" if last else b"")
+            return pa.RecordBatch.from_arrays([_texts(text, [0, len(text)])], names=["value"])
+
+        place, texts, n_bytes = 0, [], 0
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                if n_bytes >= line_bytes:
+                    yield line(texts, place, False)
+                    place, texts, n_bytes = place + 1, [], 0
+                texts.append(text)
+                n_bytes += len(text)
+        if texts:
+            yield line(texts, place, True)
+
+    return run
+
+
+def write_json_arrays(documents: DataFrame, path: str, array_bytes: int = ARRAY_BYTES, compression: str = "none") -> None:
+    """JSON arrays of documents, one per file; each task writes its own, and begins another when one has its bytes.
 
-    Documents are dealt by their values. A file is written line by line, a document each, so no array is held in memory.
-    Nothing to write gives one empty array.
+    A file is written line by line, some documents each, so no array is held in memory.
+    Nothing to write gives one empty array. A compressed array is read by one task.
     """
     whole = F.to_json(F.struct(*documents.columns), {"ignoreNullFields": "false"})
-    texts = documents.select(whole.alias("value"))
-    n_bytes = texts.agg(F.sum(F.octet_length("value"))).first()[0] or 0
-    arrays = max(1, math.ceil(n_bytes / array_bytes))
-    spark = documents.sparkSession
-    part = F.pmod(F.xxhash64("value"), F.lit(arrays)).cast("int")
-    lines = texts.select(part.alias("part"), F.lit(1).alias("kind"), "value")
-    for kind, bracket in ((0, "["), (2, "]")):
-        ends = spark.range(arrays).select(F.col("id").cast("int").alias("part"), F.lit(kind).alias("kind"), F.lit(bracket).alias("value"))
-        lines = lines.unionByName(ends)
-    in_file = Window.partitionBy("part").orderBy("kind")
-    comma = F.when((F.col("kind") == 1) & (F.lag("kind").over(in_file) == 1), ",").otherwise("")
-    lines = lines.repartition(arrays, "part").withColumn("value", F.concat(comma, "value"))
-    lines.select("part", "value").write.mode("overwrite").partitionBy("part").text(path)
+    lines = documents.select(whole.alias("value")).mapInArrow(_array_lines(max(1, array_bytes // ARRAY_LINES)), "value string")
+    spark, folder = documents.sparkSession, f"{path}/part=0"
+    lines.write.mode("overwrite").option("maxRecordsPerFile", ARRAY_LINES).option("compression", compression).text(folder)
+    if spark.read.text(folder).isEmpty():
+        spark.range(1).select(F.lit("[]")).write.mode("overwrite").option("compression", compression).text(folder)
