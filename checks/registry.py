@@ -244,11 +244,11 @@ def stored(t: TestTables) -> str:
             getattr(t, dimension)().write.option("header", True).csv(f"{folder}/{dimension}")
             raw[f"raw_{dimension}"] = readers.read_csv(spark, f"{folder}/{dimension}", schema)
         documents = t.order_documents().drop(*staging.ITEM_TOTALS)
-        write_json_arrays(documents, f"{folder}/orders")
+        write_json_arrays(documents, f"{folder}/orders", compression="gzip")
         raw["raw_orders"] = readers.read_json_array(spark, f"{folder}/orders/*", schemas.ORDERS)
-        write_json_arrays(t.delivery_telemetry(), f"{folder}/telemetry")
+        write_json_arrays(t.delivery_telemetry(), f"{folder}/telemetry", compression="gzip")
         readers.json_array_to_ndjson(
-            spark, f"{folder}/telemetry/*", f"{folder}/deliveries", schemas.DELIVERY_TELEMETRY, spatial.with_cells
+            spark, f"{folder}/telemetry/*", f"{folder}/deliveries", schemas.DELIVERY_TELEMETRY, spatial.with_cells, "gzip"
         )
         raw["raw_deliveries"] = readers.read_ndjson(spark, f"{folder}/deliveries", schemas.DELIVERIES)
         ensure_database(spark, name, location)

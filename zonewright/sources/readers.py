@@ -44,20 +44,22 @@ def json_array_to_ndjson(
     target: str,
     schema: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    compression: str = "none",
 ) -> None:
     """Rewrite JSON arrays as NDJSON, enriching the documents on the way."""
     documents = read_json_array(spark, source, schema)
-    write_ndjson(documents, target, transform)
+    write_ndjson(documents, target, transform, compression)
 
 
 def write_ndjson(
     documents: DataFrame,
     target: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    compression: str = "none",
 ) -> None:
     if transform is not None:
         documents = documents.transform(transform)
-    documents.write.mode("overwrite").option("ignoreNullFields", False).json(target)
+    documents.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression).json(target)
 
 
 def read_mart(spark: SparkSession, database: str, name: str, *columns: str) -> DataFrame:
