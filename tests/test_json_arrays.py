@@ -1,11 +1,13 @@
 """JSON arrays cut into blocks against the reader that takes a whole file."""
 
+import gzip
 import json
 import random
 
 import pytest
 
 from zonewright.sources.json_arrays import read_json_array, write_json_arrays
+from zonewright.sources.readers import write_ndjson
 
 SCHEMA = "id bigint, text string, nested struct<a: string, list: array<struct<b: bigint, c: string>>>, numbers array<bigint>"
 
@@ -85,6 +87,23 @@ def test_what_is_no_array_of_documents_is_an_error(spark, tmp_path, text):
         read_json_array(spark, str(tmp_path), SCHEMA).collect()
 
 
+@pytest.mark.parametrize("text", ['[{"id": 1}, {"id": 2', '[{"id": 1}, {"text": "a]', '{"id": 1}', '[{"id": 1}]]', '[{"id": 1}, 7, {"id": 2}]', "nothing"])
+def test_a_compressed_file_that_is_no_array_is_an_error(spark, tmp_path, text):
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(text.encode()))
+    with pytest.raises(Exception, match="no JSON array|MALFORMED|Malformed"):
+        read_json_array(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_compressed_arrays_of_any_text(spark, tmp_path):
+    rng = random.Random(5)
+    for name, indent in (("a", None), ("b", 2), ("c", None)):
+        some = [document(rng, i, size=rng.choice([4, 3000])) for i in range(0 if name == "c" else 60)]
+        (tmp_path / f"{name}.json.gz").write_bytes(gzip.compress(json.dumps(some, indent=indent, ensure_ascii=False).encode()))
+    (tmp_path / "none.json.gz").write_bytes(gzip.compress(b""))
+    assert len(rows(whole(spark, str(tmp_path)))) == 120
+    assert rows(read_json_array(spark, str(tmp_path), SCHEMA)) == rows(whole(spark, str(tmp_path)))
+
+
 @pytest.mark.parametrize("text", ["[]", " [ ]\n", "", "\n"])
 def test_nothing_in_it(spark, tmp_path, text):
     (tmp_path / "a.json").write_text(text)
@@ -116,6 +135,32 @@ def shuffled(plan):
     return own + sum(shuffled(children.apply(i)) for i in range(children.size()))
 
 
+def text_scans(plan):
+    """The text scans of a plan."""
+    if plan.nodeName().startswith("Scan text"):
+        return [plan]
+    children = plan.children()
+    return [scan for i in range(children.size()) for scan in text_scans(children.apply(i))]
+
+
+def test_only_one_scan_opens_compressed_arrays(spark, tmp_path):
+    documents = spark.range(0, 2000, 1, 3).selectExpr("id", "repeat('x', 60) AS text")
+    write_json_arrays(documents, f"{tmp_path}/out", array_bytes=40_000, compression="gzip")
+    array = read_json_array(spark, f"{tmp_path}/out/*", SCHEMA)
+    assert len(array.collect()) == 2000
+    scans = text_scans(array._jdf.queryExecution().sparkPlan())
+    assert sum(scan.execute().getNumPartitions() > 0 for scan in scans) == 1
+
+
+def test_compressed_files_are_written_at_the_fast_level(spark, tmp_path):
+    documents = spark.range(0, 3000, 1, 1).selectExpr("id", "sha2(string(id), 256) AS text")
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).rglob("part-*.gz"))
+    documents.selectExpr("to_json(struct(*))").write.option("compression", "gzip").text(f"{tmp_path}/default")
+    write_json_arrays(documents, f"{tmp_path}/arrays", compression="gzip")
+    write_ndjson(documents, f"{tmp_path}/lines", compression="gzip")
+    assert size("arrays") > 1.01 * size("default") and size("lines") > 1.01 * size("default")
+
+
 @pytest.mark.parametrize("block", [10**8, 40_000])
 def test_documents_are_cut_where_they_stand(spark, tmp_path, conf, block):
     """Only what lies across the edges of blocks is shuffled, and nothing of a file that is one block."""

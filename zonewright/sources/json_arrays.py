@@ -5,13 +5,15 @@ them end a document depends on all that comes before: how deep the nesting is,
 and whether a string is open. Both are sums, so they need no single reader: each
 block of the file reports its change for either kind of start, a running sum over the blocks, one
 row each, fixes how every block starts, and a second scan cuts the documents where they stand.
-Only what lies across the edge of a block is shuffled; a file that is one block needs no first scan.
+Only what lies across the edge of a block is shuffled. A compressed file is one block, so it needs neither the
+first scan nor the starts.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,34 +29,44 @@ ARRAY_BYTES = 128 << 20
 #: Lines of a written array: each has as many documents as fill its part of the bytes, one at least.
 ARRAY_LINES = 32
 
+#: Fastest level of gzip and deflate: the default one takes several times as long as all else that a task writes with it.
+FAST = {"zlib.compress.level": "BEST_SPEED"}
+
 BLOCK = ("file", "block")
 
+# Files that a scan never cuts. The condition is one on whole files, so those it leaves out are not opened.
+PACKED = "_metadata.file_name LIKE '%.gz'"
+
 _QUOTE, _BACKSLASH, _CLOSE = b'"\\}'
-_MARKS = np.zeros(256, bool)
-_MARKS[list(b'"\\{}[]')] = True
 _CHANGE = np.zeros(256, np.int64)
 _CHANGE[list(b"{[")], _CHANGE[list(b"}]")] = 1, -1
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between closing braces, in the file's order within a task. The last of a file gets a brace too."""
-    place = ["_metadata.file_path AS file", "_metadata.file_block_start AS block"]
-    several = "_metadata.file_block_length < _metadata.file_size AS several"
-    return spark.read.option("lineSep", "}").text(path).selectExpr(*place, several, "concat(value, '}') AS value")
+def _pieces(spark: SparkSession, path: str, files: str, *place: str) -> DataFrame:
+    """What lies between closing braces, in the file's order within a task, with its file. The last of a file gets a brace too."""
+    text = spark.read.option("lineSep", "}").text(path).where(files)
+    return text.selectExpr("_metadata.file_path AS file", *place, "concat(value, '}') AS value")
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, np.ndarray]]:
-    """The rows of a batch by block, in order: the block, the place of its first row, and the bytes of its pieces."""
+    """The rows of a batch by block, in order: the block, the place of its first row, and the bytes of its pieces.
+
+    Rows of files that are never cut come without a block; theirs is 0.
+    """
     value = batch.column(batch.schema.get_field_index("value")).cast(pa.large_binary())
     offsets = np.frombuffer(value.buffers()[1], np.int64)[value.offset : value.offset + len(value) + 1]
     raw = np.frombuffer(value.buffers()[2], np.uint8)
     if not len(value):
         return
-    places = [batch.column(batch.schema.get_field_index(name)) for name in BLOCK]
-    ids = [np.asarray(place.dictionary_encode().indices) for place in places]
-    edges = np.flatnonzero((np.diff(ids[0]) != 0) | (np.diff(ids[1]) != 0)) + 1
+    places = [batch.column(batch.schema.get_field_index(name)) for name in BLOCK if name in batch.schema.names]
+    changes = np.zeros(len(value) - 1, bool)
+    for place in places:
+        if place[0] != place[-1]:  # a task reads a block in one go, so else it is the same all through
+            changes |= np.diff(np.asarray(place.dictionary_encode().indices)) != 0
+    edges = np.flatnonzero(changes) + 1
     for start, end in zip([0, *edges], [*edges, len(value)], strict=True):
-        yield tuple(place[start].as_py() for place in places), int(start), raw[offsets[start] : offsets[end]]
+        block = [place[int(start)].as_py() for place in places]
+        yield (*block, 0)[:2], int(start), raw[offsets[start] : offsets[end]]
 
 
 def _texts(raw: bytes, offsets: Sequence[int]) -> pa.Array:
@@ -64,8 +76,9 @@ def _texts(raw: bytes, offsets: Sequence[int]) -> pa.Array:
 
 
 def _marks(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and bytes of the quotes, braces and brackets that no backslash escapes."""
-    at = np.flatnonzero(_MARKS[raw])
+    """Places and bytes of the quotes, braces and brackets that no backslash escapes, bars among them."""
+    # with the bit of small letters set, the brackets are braces, and a backslash is the bar between these two
+    at = np.flatnonzero(((raw | 32) - ord("{") <= 2) | (raw == _QUOTE))
     mark = raw[at]
     escapes = mark == _BACKSLASH
     if escapes.any():
@@ -78,12 +91,15 @@ def _marks(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, mark
 
 
-def _runs(mark: np.ndarray, quoted: int, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """For either mark: whether it closes a brace outside of strings, and the depth after it. Then whether a string is open at the end."""
+def _runs(mark: np.ndarray, quoted: int, depth: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Which marks close a brace outside of strings, and the depth after each of them. Then whether a string is open at the end, and the depth there."""
     quote = mark == _QUOTE
-    flips = np.cumsum(quote)
-    outside = (flips + quoted) % 2 == 0  # at a quote it doesn't matter
-    return outside & (mark == _CLOSE), depth + np.cumsum(_CHANGE[mark] * outside), (quoted + int(flips[-1] if len(flips) else 0)) % 2
+    flips = np.cumsum(quote, dtype=np.uint8)  # an overflow keeps them odd or even
+    outside = np.flatnonzero(~quote & ((flips & 1) == quoted))
+    inner = mark[outside]
+    depths = depth + np.cumsum(_CHANGE[inner])
+    closes = inner == _CLOSE
+    return outside[closes], depths[closes], (quoted + int(flips[-1] if len(flips) else 0)) % 2, int(depths[-1]) if len(depths) else depth
 
 
 _KINDS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("quoted", "run", "closings")]))
@@ -114,10 +130,9 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 here, state, closings = block, [(0, 0), (1, 0)], Counter()
             _, mark = _marks(raw)
             for k, (quoted, depth) in enumerate(state):
-                closes, depths, quoted = _runs(mark, quoted, depth)
-                runs, counts = np.unique(depths[closes], return_counts=True)
+                _, depths, *state[k] = _runs(mark, quoted, depth)
+                runs, counts = np.unique(depths, return_counts=True)
                 closings.update({(k, int(run)): int(n) for run, n in zip(runs, counts, strict=True)})
-                state[k] = quoted, int(depths[-1]) if len(depths) else depth
     if here:
         yield summary()
 
@@ -146,6 +161,9 @@ def _block_starts(pieces: DataFrame) -> DataFrame:
     return blocks.select(*BLOCK, "quoted", "depth", before("ends").alias("documents"), sound.alias("sound"))
 
 
+# How a block starts, and a file.
+STARTS = {"several": False, "quoted": 0, "depth": 0, "documents": 0, "sound": True}
+
 _CUT = T.StructType(
     [
         T.StructField("file", T.StringType()),
@@ -157,7 +175,7 @@ _CUT = T.StructType(
 
 
 def _cut(edges: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Cuts documents out of blocks that come with their starts; ``ends`` is 1 where a text ends one.
+    """Cuts documents out of blocks; ``ends`` is 1 where a text ends one. Without their starts they are whole files.
 
     What lies before the first end in a block of several and after the last one belongs to documents that other blocks
     share: with ``edges`` only that is given, else only the rest. What is left at the end of a file has no end.
@@ -182,16 +200,15 @@ def _cut(edges: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 yield one(text, 0, fits)
 
         for batch in batches:
-            start_of = [batch.column(batch.schema.get_field_index(c)) for c in ("several", "quoted", "depth", "documents", "sound")]
+            start_of = [batch.column(batch.schema.get_field_index(c)) for c in STARTS if c in batch.schema.names]
             for block, row, raw in _stretches(batch):
                 if block != here:
                     yield from rest()
-                    several, quoted, depth, number, sound = (c[row].as_py() for c in start_of)
+                    several, quoted, depth, number, sound = (c[row].as_py() for c in start_of) if start_of else STARTS.values()
                     here, seen, place, left = block, 0, 0, []
                 at, mark = _marks(raw)
-                closes, depths, quoted = _runs(mark, quoted, depth)
-                depth = int(depths[-1]) if len(depths) else depth
-                ends = at[closes & (depths == 1)] + 1
+                closes, depths, quoted, depth = _runs(mark, quoted, depth)
+                ends = at[closes[depths == 1]] + 1
                 if len(ends):
                     first = several and not seen  # other blocks share this one
                     if first and edges:
@@ -225,10 +242,12 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     the top, an array that breaks off, and a document that doesn't fit the schema are errors when they are
     read. Compressed files can't be cut, so one is one block.
     """
-    pieces = _pieces(spark, path)
+    packed = _pieces(spark, path, PACKED)
+    several = "_metadata.file_block_length < _metadata.file_size AS several"
+    pieces = _pieces(spark, path, f"NOT {PACKED}", "_metadata.file_block_start AS block", several)
     starts = F.broadcast(_block_starts(pieces.where("several")))
     # a broadcast join leaves the rows of a task as they come
-    whole = pieces.join(starts, list(BLOCK), "left").fillna({"quoted": 0, "depth": 0, "documents": 0, "sound": True})
+    whole = pieces.join(starts, list(BLOCK), "left").fillna(STARTS)
     shared = pieces.where("several").join(starts, list(BLOCK))
     parts = F.sort_array(F.collect_list(F.struct("block", "place", "text")))
     joined = shared.mapInArrow(_cut(edges=True), _CUT).groupBy("file", "number").agg(
@@ -236,13 +255,14 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
     joined = joined.withColumn("text", F.array_join(F.transform("parts", lambda part: part["text"]), ""))
     columns = ["file", "ends", "sound", "text"]
-    documents = whole.mapInArrow(_cut(edges=False), _CUT).select(columns).unionByName(joined.select(columns))
+    cut_there = [rows.mapInArrow(_cut(edges=False), _CUT) for rows in (packed, whole)]
+    documents = reduce(DataFrame.unionByName, [rows.select(columns) for rows in (*cut_there, joined)])
     text = F.col("text")
     left = F.expr("left(text, length(text) - 1)")
     rest = left.rlike(r"\A\s*(\[\s*)?\]?\s*\z")
     broken = F.raise_error(F.concat(F.col("file"), F.lit(" is no JSON array of documents")))
     is_document = F.when(~F.col("sound"), broken.cast("boolean")).when(F.col("ends") == 1, True).when(rest, False)
-    body = F.regexp_replace(text, r"\A[\s,\[]+", "")
+    body = F.ltrim(text, F.lit(" \t\n\v\f\r,["))
     parsed = F.from_json(body, T.StructType.fromDDL(schema), {"mode": "FAILFAST"})
     cut = documents.where(is_document.otherwise(broken.cast("boolean")))
     return cut.select(parsed.alias("document")).select("document.*")
@@ -280,6 +300,6 @@ def write_json_arrays(documents: DataFrame, path: str, array_bytes: int = ARRAY_
     whole = F.to_json(F.struct(*documents.columns), {"ignoreNullFields": "false"})
     lines = documents.select(whole.alias("value")).mapInArrow(_array_lines(max(1, array_bytes // ARRAY_LINES)), "value string")
     spark, folder = documents.sparkSession, f"{path}/part=0"
-    lines.write.mode("overwrite").option("maxRecordsPerFile", ARRAY_LINES).option("compression", compression).text(folder)
+    lines.write.mode("overwrite").options(**FAST).option("maxRecordsPerFile", ARRAY_LINES).option("compression", compression).text(folder)
     if spark.read.text(folder).isEmpty():
         spark.range(1).select(F.lit("[]")).write.mode("overwrite").option("compression", compression).text(folder)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from zonewright.operators import layout
 from zonewright.sources import snapshots
-from zonewright.sources.json_arrays import read_json_array
+from zonewright.sources.json_arrays import FAST, read_json_array
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -59,7 +59,7 @@ def write_ndjson(
 ) -> None:
     if transform is not None:
         documents = documents.transform(transform)
-    documents.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression).json(target)
+    documents.write.mode("overwrite").options(**FAST).option("ignoreNullFields", False).option("compression", compression).json(target)
 
 
 def read_mart(spark: SparkSession, database: str, name: str, *columns: str) -> DataFrame:
